@@ -1,0 +1,5 @@
+"""Empty on purpose: the work rebuilt here is batch only, and nothing in it keeps state over a stream.
+
+The row-wise column functions (``starledger.functions``) and ``plans.ratings_silver`` hold no state, so they can be
+applied to a streaming DataFrame as they are.
+"""
