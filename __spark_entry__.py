@@ -28,7 +28,7 @@ from starledger.operators import (
     unique_values,
     value_report,
 )
-from starledger.plans import exploration, gold, insights, movies_silver, ratings_silver
+from starledger.plans import exploration, gold, insights, movies_silver, ratings_silver, store_gold
 from starledger.sources import (
     GOLD_CLEAN_SCHEMA,
     GOLD_RAW_SCHEMA,
@@ -40,7 +40,6 @@ from starledger.sources import (
     register_views,
     stand_ins,
     write_csv,
-    write_gold,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,7 +111,7 @@ def _csv_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored_gold(spark: SparkSession, folder: str, drop_nulls: bool = True) -> DataFrame:
     path = shared_folder(spark, "gold")
-    write_gold(_gold(spark, folder, drop_nulls), path)
+    store_gold(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), path, drop_nulls)
     return read_gold(spark, path, GOLD_CLEAN_SCHEMA if drop_nulls else GOLD_RAW_SCHEMA)
 
 

@@ -16,8 +16,13 @@ def real_genre(genre: Column) -> Column:
 
 
 def genre_list(genres: Column) -> Column:
-    """The genres as an array in their written order, the marker text as a NULL element.
+    """The genres as an array in their written order, the marker text still among them.
 
-    A NULL field gives a NULL array (no rows when exploded), an empty text one empty genre.
+    A NULL field gives a NULL array (no rows when unfolded), an empty text one empty genre.
     """
-    return F.transform(F.split(genres, GENRE_SEPARATOR), real_genre)
+    return F.split(genres, GENRE_SEPARATOR)
+
+
+def real_genres(genre_list: Column) -> Column:
+    """The array without the marker text."""
+    return F.array_remove(genre_list, NO_GENRES)

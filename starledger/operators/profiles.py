@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+# Parts a column's values are ranked in first when the limit is a large one.
+PARTS = 256
+
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
@@ -24,14 +28,21 @@ def _distinct_pairs(df: DataFrame, ignore: Collection[str]) -> DataFrame:
 def unique_values(df: DataFrame, limit: int | None = 20, ignore: Collection[str] = ()) -> DataFrame:
     """Distinct values per column, the first ``limit`` of each in text order (NULL first), or all with ``None``.
 
-    The limit bounds what a caller shows. It is taken in each task before the rows of a column come together, so even
-    with it a column of very many values never gathers in one task.
+    The limit bounds what a caller shows. It is taken in parts before the values of a column come together, so a column
+    of very many values never gathers in one task.
     """
     pairs = _distinct_pairs(df, ignore)
     if limit is None:
         return pairs
-    in_column = Window.partitionBy("column_name").orderBy("value")
-    return pairs.withColumn("position", F.row_number().over(in_column)).filter(F.col("position") <= limit).drop("position")
+    if limit > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000")):
+        # Spark itself limits in parts only up to this number.
+        pairs = _first_of(pairs, limit, "column_name", F.pmod(F.hash("value"), F.lit(PARTS)))
+    return _first_of(pairs, limit, "column_name")
+
+
+def _first_of(pairs: DataFrame, limit: int, *group: str | Column) -> DataFrame:
+    position = F.row_number().over(Window.partitionBy(*group).orderBy("value"))
+    return pairs.withColumn("position", position).filter(F.col("position") <= limit).drop("position")
 
 
 def unique_value_counts(df: DataFrame, ignore: Collection[str] = ()) -> DataFrame:

@@ -9,6 +9,7 @@ from starledger.functions import genre_list
 from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, join_on_hot_key
 from starledger.plans import silver
 from starledger.plans.silver import unfold_genres
+from starledger.sources.gold_table import gather, write_gold
 from starledger.sources.schemas import GOLD_CLEAN_SCHEMA, GOLD_RAW_SCHEMA
 
 
@@ -18,12 +19,15 @@ def gold(
     drop_nulls: bool = True,
     broadcast_limit: int = BROADCAST_LIMIT,
     rows_per_split: int = ROWS_PER_SPLIT,
+    gather_years: bool = False,
 ) -> DataFrame:
     """Join the tables as read into gold rows.
 
     ``drop_nulls`` joins only complete silver rows and carries the epoch ``timestamp``; without it every silver row
     takes part and ``rating_timestamp`` is carried. Ratings meet one row per film, and genres unfold after the join, so
     neither a shuffle nor a broadcast holds a film more than once.
+
+    ``gather_years`` brings the rows of a year together for a partitioned write, before genres multiply them.
     """
     if drop_nulls:
         film_rows, rating_rows, columns = (
@@ -40,9 +44,18 @@ def gold(
     joined = join_on_hot_key(
         rating_rows, film_rows, "movieId", broadcast_limit, rows_per_split, measure=_film_sizes(movies)
     )
+    if gather_years:
+        joined = gather(joined)
     return unfold_genres(joined).select(columns)
 
 
+def store_gold(
+    movies: DataFrame, ratings: DataFrame, path: str, drop_nulls: bool = True, file_format: str = "parquet"
+) -> None:
+    """Build the gold table and write it, one folder per year."""
+    write_gold(gold(movies, ratings, drop_nulls, gather_years=True), path, file_format, gathered=True)
+
+
 def _film_sizes(movies: DataFrame) -> DataFrame:
     """A frame at least as large as the films, measured without removing duplicates or filtering first."""
     return movies.select("movieId", "title", genre_list(F.col("genres")).alias("genre_list"))

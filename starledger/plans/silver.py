@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.functions import epoch_to_timestamp, genre_list, release_year, valid_rating
+from starledger.functions import (
+    epoch_to_timestamp,
+    genre_list,
+    real_genre,
+    real_genres,
+    release_year,
+    valid_rating,
+)
 
 
 def films(movies: DataFrame) -> DataFrame:
@@ -25,9 +32,10 @@ def films(movies: DataFrame) -> DataFrame:
 
 
 def unfold_genres(df: DataFrame) -> DataFrame:
-    """One row per genre in place of the array; a row without an array goes."""
+    """One row per genre in place of the array, the marker text as NULL; a row without an array goes."""
     others = [c for c in df.columns if c != "genre_list"]
-    return df.select(*others, F.explode("genre_list").alias("genre"))
+    unfolded = df.select(*others, F.explode("genre_list").alias("genre"))
+    return unfolded.withColumn("genre", real_genre(F.col("genre")))
 
 
 def movies_silver(movies: DataFrame) -> DataFrame:
@@ -51,7 +59,7 @@ def complete_films(movies: DataFrame) -> DataFrame:
     return (
         films(movies)
         .filter(F.col("movieId").isNotNull() & F.col("title").isNotNull() & F.col("year").isNotNull())
-        .withColumn("genre_list", F.array_compact("genre_list"))
+        .withColumn("genre_list", real_genres(F.col("genre_list")))
         .filter(F.size("genre_list") > 0)
     )
 

@@ -14,15 +14,29 @@ from starledger.sources.schemas import GOLD_CLEAN_SCHEMA
 PARTITION_COLUMN = "year"
 
 
-def write_gold(gold: DataFrame, path: str, file_format: str = "parquet", partition_by: str = PARTITION_COLUMN) -> None:
+def gather(df: DataFrame, partition_by: str = PARTITION_COLUMN) -> DataFrame:
+    """Bring the rows of a year together for the write.
+
+    The hint keeps the number of files near the number of years, and lets AQE deal a year that is much larger than the
+    rest over several tasks and files, by its measured size.
+    """
+    return df.hint("rebalance", partition_by)
+
+
+def write_gold(
+    gold: DataFrame,
+    path: str,
+    file_format: str = "parquet",
+    partition_by: str = PARTITION_COLUMN,
+    gathered: bool = False,
+) -> None:
     """Replace the table at ``path``, its schema included; ``gold`` must not read from ``path``.
 
-    The rebalance hint gathers each year in few tasks, so the number of files stays near the number of years, and lets
-    AQE split a year that is much larger than the rest into several tasks and files.
+    ``gathered`` says that the rows of a year already lie together, as ``plans.store_gold`` has them.
     """
+    rows = gold if gathered else gather(gold, partition_by)
     (
-        gold.hint("rebalance", partition_by)
-        .write.format(file_format)
+        rows.write.format(file_format)
         .mode("overwrite")
         .option("overwriteSchema", "true")
         .partitionBy(partition_by)
