@@ -138,6 +138,7 @@ def queries() -> dict[str, Query]:
         "sql_high_ratings": _over_views(lambda s: exploration.ratings_above(s, 4.5)),
         "sql_high_ratings_top10": _over_views(lambda s: exploration.ratings_above(s, 4.5, 10)),
         "sql_total_ratings": _over_views(exploration.total_ratings),
+        "total_ratings": lambda s, d: stand_ins.ratings(s, d).agg(F.count("*").alias("total_ratings")),
         "sql_top_rated_movies": _over_views(exploration.most_rated),
         "sql_title_ratings": _over_views(lambda s: exploration.ratings_of_title(s, TITLE)),
         # silver tables
@@ -173,6 +174,7 @@ def queries() -> dict[str, Query]:
         "null_drop_report_ratings": lambda s, d: null_drop_report(_ratings_silver(s, d), "ratings"),
         # gold
         "gold_clean": _gold,
+        "gold_preview": lambda s, d: exploration.first_rows(_gold(s, d), 5, *GOLD_CLEAN_SCHEMA.fieldNames()),
         "gold_raw": lambda s, d: _plain_time(_gold(s, d, drop_nulls=False)),
         # insights
         "genre_popularity": lambda s, d: insights.genre_popularity(_genre_totals(s, d)),
@@ -282,6 +284,7 @@ _LEAKED = "regexp_matches(genre, '.*\\(\\d{4}\\).*\"')"
 _SAME_VALUE = "genre = ' Friend\"\" (2014)\"'"
 _SILVER_MOVIE_COLUMNS = ["movieId", "title", "year", "genre"]
 _SILVER_RATING_COLUMNS = ["userId", "movieId", "rating", "timestamp", "rating_timestamp"]
+_GOLD_COLUMNS = ['"movieId"', '"userId"', "rating", '"timestamp"', "title", "year", "genre"]
 _POPULARITY = "SELECT genre, count(rating) AS num_ratings FROM {gold} GROUP BY genre ORDER BY num_ratings DESC, genre"
 _BY_YEAR = "SELECT year, avg(rating) AS avg_rating FROM {gold} WHERE year IS NOT NULL GROUP BY year ORDER BY year"
 _HIGH = """SELECT "userId", "movieId", rating FROM ratings WHERE rating > 4.5
@@ -302,6 +305,7 @@ def oracle_sql() -> dict[str, str]:
         "sql_high_ratings": f"{_TABLES} {_HIGH}",
         "sql_high_ratings_top10": f"{_TABLES} {_HIGH} LIMIT 10",
         "sql_total_ratings": f"{_TABLES} SELECT count(*) AS total_ratings FROM ratings",
+        "total_ratings": "SELECT count(*) AS total_ratings FROM lineitem",
         "sql_top_rated_movies": f"""{_TABLES} SELECT "movieId", count(*) AS num_ratings FROM ratings
             GROUP BY "movieId" ORDER BY num_ratings DESC, "movieId" LIMIT 5""",
         "sql_title_ratings": f"""{_TABLES} SELECT m.title, r."userId", r.rating
@@ -333,6 +337,7 @@ def oracle_sql() -> dict[str, str]:
         "null_drop_report": _null_drop(_MOVIES, "ms", "mc", "movies"),
         "null_drop_report_ratings": _null_drop(_TABLES, "rs", "rc", "ratings"),
         "gold_clean": f"{_TABLES} SELECT * FROM gold",
+        "gold_preview": f'{_TABLES} SELECT * FROM gold ORDER BY {", ".join(_GOLD_COLUMNS)} LIMIT 5',
         "gold_raw": f"{_TABLES} SELECT * FROM gold_raw",
         "genre_popularity": f"{_TABLES} {_POPULARITY.format(gold='gold')}",
         "genre_popularity_raw": f"{_TABLES} {_POPULARITY.format(gold='gold_raw')}",

@@ -1,50 +1,49 @@
-"""Distinct values of columns, in one pass over the table however many columns are profiled."""
+"""Distinct values of columns, all columns in one job.
+
+Each column is made distinct on its own and in its own type, and becomes text after that. A columnar source is read
+about once in total, since each branch reads a single column, and the shuffle carries narrow values. Turning columns
+into (name, text) rows first and making those distinct would read once as well, but hashes and shuffles wide text keys.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-# Parts a column's values are ranked in first when the limit is a large one.
-PARTS = 256
-
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def _distinct_pairs(df: DataFrame, ignore: Collection[str]) -> DataFrame:
-    """One row per profiled column and distinct value, values as text, NULL being a value."""
+def _per_column(df: DataFrame, ignore: Collection[str], summary: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     names = [c for c in df.columns if c not in ignore]
     if not names:
         raise ValueError("no column left to profile")
-    texts = df.select([F.col(c).cast("string").alias(c) for c in names])
-    return texts.unpivot([], names, "column_name", "value").distinct()
+    branches = [summary(distinct_values(df, name), name) for name in names]
+    return reduce(DataFrame.unionAll, branches)
 
 
 def unique_values(df: DataFrame, limit: int | None = 20, ignore: Collection[str] = ()) -> DataFrame:
-    """Distinct values per column, the first ``limit`` of each in text order (NULL first), or all with ``None``.
+    """``column_name, value``: distinct values as text, NULL being one.
 
-    The limit bounds what a caller shows. It is taken in parts before the values of a column come together, so a column
-    of very many values never gathers in one task.
+    Per column the first ``limit`` in text order (NULL first), or all with ``None``. Each task keeps no more than
+    ``limit`` values before those of a column come together.
     """
-    pairs = _distinct_pairs(df, ignore)
-    if limit is None:
-        return pairs
-    if limit > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF, "1000")):
-        # Spark itself limits in parts only up to this number.
-        pairs = _first_of(pairs, limit, "column_name", F.pmod(F.hash("value"), F.lit(PARTS)))
-    return _first_of(pairs, limit, "column_name")
 
+    def values(distinct: DataFrame, name: str) -> DataFrame:
+        texts = distinct.select(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value"))
+        return texts if limit is None else texts.orderBy("value").limit(limit)
 
-def _first_of(pairs: DataFrame, limit: int, *group: str | Column) -> DataFrame:
-    position = F.row_number().over(Window.partitionBy(*group).orderBy("value"))
-    return pairs.withColumn("position", position).filter(F.col("position") <= limit).drop("position")
+    return _per_column(df, ignore, values)
 
 
 def unique_value_counts(df: DataFrame, ignore: Collection[str] = ()) -> DataFrame:
-    """The exact number of distinct values per column, NULL counted as one."""
-    return _distinct_pairs(df, ignore).groupBy("column_name").agg(F.count("*").alias("unique_values"))
+    """``column_name, unique_values``: the exact number of distinct values, NULL counted as one."""
+
+    def counted(distinct: DataFrame, name: str) -> DataFrame:
+        return distinct.agg(F.count("*").alias("unique_values")).select(F.lit(name).alias("column_name"), "unique_values")
+
+    return _per_column(df, ignore, counted)

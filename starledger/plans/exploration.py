@@ -13,6 +13,11 @@ from starledger.operators.joins import BROADCAST_LIMIT, measured_bytes
 from starledger.sources.views import MOVIES_VIEW, RATINGS_VIEW
 
 
+def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """A preview of any table: its first ``n`` rows by ``order``, or any ``n`` rows without one."""
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
 def first_movies(spark: SparkSession, n: int = 10) -> DataFrame:
     return spark.sql(
         f"SELECT title, genres FROM {MOVIES_VIEW} ORDER BY movieId, title, genres LIMIT :n", args={"n": n}

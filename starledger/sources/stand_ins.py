@@ -23,7 +23,7 @@ def ratings_from_lineitem(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.col("l_orderkey").cast("int").alias("userId"),
         F.col("l_partkey").cast("int").alias("movieId"),
-        (F.round(F.col("l_discount") * 100) / 2).cast("float").alias("rating"),
+        (F.floor(F.col("l_discount") * 100 + 0.5) / 2).cast("float").alias("rating"),
         F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).cast("int").alias("timestamp"),
     )
 
