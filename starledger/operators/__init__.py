@@ -1,7 +1,7 @@
 """Operators on any DataFrame: duplicates, value profiles, missing values, misfiled values, and the skew-safe join."""
 
 from starledger.operators.duplicates import duplicate_report, keep_first, remove_duplicates
-from starledger.operators.joins import join_on_hot_key
+from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured_bytes, split_join
 from starledger.operators.misfiled import (
     LEAKED_TITLE,
     drop_matching,
@@ -14,19 +14,22 @@ from starledger.operators.missing import drop_incomplete, null_drop_report, null
 from starledger.operators.profiles import distinct_values, unique_value_counts, unique_values
 
 __all__ = [
+    "BROADCAST_LIMIT",
     "LEAKED_TITLE",
+    "ROWS_PER_SPLIT",
     "distinct_values",
     "drop_incomplete",
     "drop_matching",
     "drop_value",
     "duplicate_report",
-    "join_on_hot_key",
     "keep_first",
     "matching_report",
+    "measured_bytes",
     "null_drop_report",
     "null_ratios",
     "only_matching",
     "remove_duplicates",
+    "split_join",
     "unique_value_counts",
     "unique_values",
     "value_report",

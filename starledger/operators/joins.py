@@ -1,4 +1,8 @@
-"""Inner join of a very large table with a smaller one on a key that may be very unevenly used."""
+"""Inner join of a very large table with a smaller one on a key that may be very unevenly used.
+
+A caller measures the smaller side first. Up to ``BROADCAST_LIMIT`` it is broadcast and the large side is not shuffled
+at all; beyond that ``split_join`` shuffles both.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType
 
-# A side measured below this many bytes is broadcast.
+# A side measured up to this many bytes is broadcast.
 BROADCAST_LIMIT = 64 << 20
 # Rows of one key that one join task takes.
 ROWS_PER_SPLIT = 2_000_000
@@ -34,25 +38,6 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes.cast("bigint")), F.lit(0))).first()[0]
 
 
-def join_on_hot_key(
-    large: DataFrame,
-    small: DataFrame,
-    key: str,
-    broadcast_limit: int = BROADCAST_LIMIT,
-    rows_per_split: int = ROWS_PER_SPLIT,
-    measure: DataFrame | None = None,
-) -> DataFrame:
-    """``large`` inner-joined with ``small`` on ``key``; the key comes first and once.
-
-    ``small`` is measured (or ``measure``, a cheaper frame known to be at least as large). Up to ``broadcast_limit``
-    bytes it is broadcast, and ``large`` is not shuffled at all. Beyond that both sides are shuffled, with the rows of
-    hot keys dealt out over several tasks, see ``split_join``.
-    """
-    if measured_bytes(small if measure is None else measure) <= broadcast_limit:
-        return large.join(F.broadcast(small), key, "inner")
-    return split_join(large, small, key, rows_per_split)
-
-
 def split_join(large: DataFrame, small: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
     """Shuffled inner join in which no task gets much more than ``rows_per_split`` rows of one key.
 

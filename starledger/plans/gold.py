@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starledger.functions import genre_list
-from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, join_on_hot_key
+from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured_bytes, split_join
 from starledger.plans import silver
 from starledger.plans.silver import unfold_genres
 from starledger.sources.gold_table import gather, write_gold
@@ -41,14 +41,28 @@ def gold(
             silver.ratings_silver(ratings).drop("timestamp"),
             GOLD_RAW_SCHEMA.fieldNames(),
         )
-    joined = join_on_hot_key(
-        rating_rows, film_rows, "movieId", broadcast_limit, rows_per_split, measure=_film_sizes(movies)
-    )
-    if gather_years:
-        joined = gather(joined)
+    fits = measured_bytes(_film_sizes(movies)) <= broadcast_limit
+    if gather_years and fits:
+        joined = _gathered_by_year(rating_rows, film_rows)
+    elif fits:
+        joined = rating_rows.join(F.broadcast(film_rows), "movieId", "inner")
+    else:
+        joined = split_join(rating_rows, film_rows, "movieId", rows_per_split)
+        joined = gather(joined) if gather_years else joined
     return unfold_genres(joined).select(columns)
 
 
+def _gathered_by_year(rating_rows: DataFrame, film_rows: DataFrame) -> DataFrame:
+    """Ratings with their films, shuffled by year while they hold nothing of the film but the year.
+
+    Titles and genres are looked up a second time after the shuffle, which costs a small broadcast and saves sending
+    them along with every rating.
+    """
+    years = F.broadcast(film_rows.select("movieId", "year"))
+    others = F.broadcast(film_rows.drop("year"))
+    return gather(rating_rows.join(years, "movieId", "inner")).join(others, "movieId", "inner")
+
+
 def store_gold(
     movies: DataFrame, ratings: DataFrame, path: str, drop_nulls: bool = True, file_format: str = "parquet"
 ) -> None:

@@ -1,12 +1,13 @@
 """The gold table on every join path, its store, and the insights, against brute force."""
 
 import math
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 import brute
-from starledger.operators.joins import join_on_hot_key, measured_bytes, split_join
+from starledger.operators.joins import measured_bytes, split_join
 from starledger.plans import gold, insights, store_gold
 from starledger.plans.silver import complete_ratings
 from starledger.sources import (
@@ -18,7 +19,13 @@ from starledger.sources import (
     write_gold,
 )
 
-PATHS = {"broadcast": {}, "shuffled": {"broadcast_limit": -1}, "split": {"broadcast_limit": -1, "rows_per_split": 7}}
+PATHS = {
+    "broadcast": {},
+    "gathered": {"gather_years": True},
+    "shuffled": {"broadcast_limit": -1},
+    "split": {"broadcast_limit": -1, "rows_per_split": 7},
+    "split and gathered": {"broadcast_limit": -1, "rows_per_split": 7, "gather_years": True},
+}
 
 
 def rows(df):
@@ -80,12 +87,12 @@ def test_split_join_spreads_a_hot_key_of_equal_rows(spark):
     assert joined.count() == copies + others
 
 
-def test_join_drops_null_keys_and_keeps_every_match(spark):
+@pytest.mark.parametrize("rows_per_split", [1, 2, 1000])
+def test_split_join_drops_null_keys_and_keeps_every_match(spark, rows_per_split):
     large = spark.createDataFrame([(None, 1), (1, 2), (1, 2), (2, 3)], "k int, x int")
     small = spark.createDataFrame([(None, "n"), (1, "a"), (1, "b")], "k int, y string")
     expected = [(1, 2, "a"), (1, 2, "a"), (1, 2, "b"), (1, 2, "b")]
-    for options in ({}, {"broadcast_limit": -1}, {"broadcast_limit": -1, "rows_per_split": 1}):
-        assert sorted(rows(join_on_hot_key(large, small, "k", **options))) == expected
+    assert sorted(rows(split_join(large, small, "k", rows_per_split))) == expected
 
 
 def test_measured_bytes_is_not_below_the_text(spark):
@@ -119,28 +126,44 @@ def test_the_format_is_a_parameter(spark, tmp_path):
     assert brute.comparable(rows(again)) == brute.comparable(brute.gold(movies, ratings, True))
 
 
-def test_a_year_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
-    rows_of_year = 300_000
-    wide = spark.range(rows_of_year).select(
-        F.col("id").cast("int").alias("movieId"),
-        F.lit(1).alias("userId"),
+@pytest.mark.parametrize("gathered", ["before unfolding", "after unfolding", "after a split join"])
+def test_a_year_with_most_rows_is_written_by_several_tasks(spark, tmp_path, gathered):
+    """Nine in ten of the ratings fall on one year, a third on one film."""
+    n = 300_000
+    film = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, F.col("id") % 60 * 100 + 1).otherwise(
+        F.col("id") % 50 * 100
+    )
+    ratings = spark.range(n).select(
+        F.hash("id").alias("userId"),
+        film.cast("int").alias("movieId"),
         F.lit(4.0).cast("float").alias("rating"),
-        F.hash("id").alias("timestamp"),
-        F.md5(F.col("id").cast("string")).alias("title"),
-        F.when(F.col("id") % 10 == 0, (F.col("id") % 60 + 1950).cast("int")).otherwise(F.lit(1995)).alias("year"),
-        F.lit("g").alias("genre"),
+        F.abs(F.hash(F.col("id") + 1)).alias("timestamp"),
+    )
+    year = F.when(F.col("id") % 100 == 0, 1995).otherwise(F.col("id") / 100 % 60 + 1900).cast("int")
+    movies = spark.range(6000).select(
+        F.col("id").cast("int").alias("movieId"),
+        F.concat(F.md5(F.col("id").cast("string")), F.lit(" ("), year.cast("string"), F.lit(")")).alias("title"),
+        F.lit("A|B").alias("genres"),
     )
+    path = str(tmp_path / "gold")
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = spark.conf.get(key)
-    spark.conf.set(key, "1m")
+    spark.conf.set(key, "512k")
     try:
-        write_gold(wide, str(tmp_path / "gold"))
+        if gathered == "before unfolding":
+            store_gold(movies, ratings, path)
+        elif gathered == "after unfolding":
+            write_gold(gold(movies, ratings), path)
+        else:
+            split = gold(movies, ratings, broadcast_limit=-1, rows_per_split=10_000, gather_years=True)
+            write_gold(split, path, gathered=True)
     finally:
         spark.conf.set(key, before)
-    files = lambda year: list((tmp_path / "gold" / f"year={year}").glob("*.parquet"))
-    assert len(files(1995)) >= 3
-    assert len(files(1950)) <= 2
-    assert read_gold(spark, str(tmp_path / "gold")).count() == rows_of_year
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "gold").glob("year=*")}
+    assert files["year=1995"] >= 3
+    # A year that shares the large year's shuffle partition is dealt out with it; the others stay together.
+    assert statistics.median(files.values()) <= 2
+    assert read_gold(spark, path).count() == 2 * n
 
 
 @pytest.mark.parametrize("drop_nulls", [True, False])
