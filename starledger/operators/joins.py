@@ -42,14 +42,14 @@ def split_join(large: DataFrame, small: DataFrame, key: str, rows_per_split: int
     """Shuffled inner join in which no task gets much more than ``rows_per_split`` rows of one key.
 
     A first pass over the key column counts rows per key. A key above the bound gets one split per ``rows_per_split``
-    rows; its rows are dealt to the splits in turn, so equal rows part too, and its matches in ``small`` are repeated
-    once per split. All other keys are joined as usual. Every row meets each of its matches exactly once.
+    rows; its rows are dealt to the splits, and its matches in ``small`` are repeated once per split. All other keys are joined as usual. Every row meets each of its matches exactly once.
 
     The list of hot keys is broadcast. A key is hot from ``max(rows_per_split, rows / MAX_HOT_KEYS)`` rows on, so the
     list cannot be longer than ``MAX_HOT_KEYS`` whatever the data.
 
-    The dealing goes by a row's position in its input partition, which a repeated task reproduces as long as ``large``
-    comes from a scan and row-wise steps.
+    The split of a row follows from its content and the number of its input partition. Rows that differ part by content,
+    equal rows by partition, and one partition is small. Neither depends on the order of rows, so a task that is repeated
+    after a loss deals the same rows to the same splits.
     """
     large = large.filter(F.col(key).isNotNull())
     small = small.filter(F.col(key).isNotNull())
@@ -66,7 +66,8 @@ def split_join(large: DataFrame, small: DataFrame, key: str, rows_per_split: int
     def with_splits(df: DataFrame) -> DataFrame:
         return df.join(hot, F.col(key) == F.col(_HOT_KEY), "left").drop(_HOT_KEY)
 
-    turn = (F.monotonically_increasing_id() % F.col(_SPLITS)).cast("int")
+    by_content = F.pmod(F.xxhash64(*[F.col(c) for c in large.columns]), F.col(_SPLITS))
+    turn = ((by_content + F.spark_partition_id()) % F.col(_SPLITS)).cast("int")
     dealt = with_splits(large).withColumn(_SPLIT, F.when(F.col(_SPLITS).isNull(), 0).otherwise(turn)).drop(_SPLITS)
     last = F.coalesce(F.col(_SPLITS), F.lit(1)) - 1
     repeated = with_splits(small).withColumn(_SPLIT, F.explode(F.sequence(F.lit(0), last))).drop(_SPLITS)

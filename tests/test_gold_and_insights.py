@@ -67,8 +67,8 @@ def test_gold_of_nothing(spark):
 def test_split_join_spreads_a_hot_key_of_equal_rows(spark):
     """Two thirds of the rows are copies of one row; no join task may get them all."""
     copies, others, bound = 4000, 2000, 100
-    large = spark.range(copies).select(F.lit(7).alias("k"), F.lit("same").alias("x")).union(
-        spark.range(others).select((F.col("id") + 100).cast("int").alias("k"), F.lit("other").alias("x"))
+    large = spark.range(0, copies, 1, 80).select(F.lit(7).alias("k"), F.lit("same").alias("x")).union(
+        spark.range(0, others, 1, 80).select((F.col("id") + 100).cast("int").alias("k"), F.lit("other").alias("x"))
     )
     small = spark.range(3000).select(F.col("id").cast("int").alias("k"), F.lit("dim").alias("y"))
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
@@ -87,6 +87,28 @@ def test_split_join_spreads_a_hot_key_of_equal_rows(spark):
     assert joined.count() == copies + others
 
 
+def test_a_row_keeps_its_split_when_its_task_sees_rows_in_another_order(spark):
+    """The same rows per partition in two orders: each split must end up with the same rows."""
+
+    def splits(ascending):
+        rows_in = spark.range(0, 3000, 1, 6).select(
+            F.lit(1).alias("k"), (F.col("id") % 700).alias("x"), F.col("id").alias("__order")
+        )
+        ordered = rows_in.sortWithinPartitions("__order", ascending=ascending).drop("__order")
+        joined = split_join(ordered, spark.createDataFrame([(1, "dim")], "k int, y string"), "k", rows_per_split=100)
+        return joined.groupBy(F.spark_partition_id().alias("task"), "x").count().collect()
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        assert sorted(splits(True)) == sorted(splits(False))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 @pytest.mark.parametrize("rows_per_split", [1, 2, 1000])
 def test_split_join_drops_null_keys_and_keeps_every_match(spark, rows_per_split):
     large = spark.createDataFrame([(None, 1), (1, 2), (1, 2), (2, 3)], "k int, x int")
