@@ -84,12 +84,16 @@ def _gold(spark: SparkSession, folder: str, drop_nulls: bool = True) -> DataFram
     return gold(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), drop_nulls)
 
 
+def _film_totals(spark: SparkSession, folder: str, **options: bool) -> DataFrame:
+    return insights.film_totals(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), **options)
+
+
 def _genre_totals(spark: SparkSession, folder: str, drop_nulls: bool = True) -> DataFrame:
-    return insights.genre_totals_of_films(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), drop_nulls)
+    return insights.genre_totals_of_films(_film_totals(spark, folder, drop_nulls=drop_nulls))
 
 
-def _year_totals(spark: SparkSession, folder: str, **options: bool) -> DataFrame:
-    return insights.year_totals_of_films(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), **options)
+def _year_totals(spark: SparkSession, folder: str, drop_nulls: bool = True, genre_weighted: bool = True) -> DataFrame:
+    return insights.year_totals_of_films(_film_totals(spark, folder, drop_nulls=drop_nulls), genre_weighted)
 
 
 def _genre_bayesian_avg(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,9 +188,7 @@ def queries() -> dict[str, Query]:
         "genre_avg_rating": lambda s, d: insights.genre_avg_rating(_genre_totals(s, d)),
         "genre_bayesian_avg": _genre_bayesian_avg,
         "ratings_long": lambda s, d: insights.ratings_long(_gold(s, d)),
-        "rating_histogram": lambda s, d: insights.rating_histogram_of_films(
-            stand_ins.movies(s, d), stand_ins.ratings(s, d)
-        ),
+        "rating_histogram": lambda s, d: insights.rating_histogram_of_films(_film_totals(s, d, by_rating=True)),
         "avg_rating_by_year": lambda s, d: insights.avg_rating_by_year(_year_totals(s, d)),
         "avg_rating_by_year_raw": lambda s, d: insights.avg_rating_by_year(_year_totals(s, d, drop_nulls=False)),
         "avg_rating_by_year_of_gold": lambda s, d: insights.avg_rating_by_year(insights.year_totals(_gold(s, d))),

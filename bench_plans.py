@@ -50,6 +50,9 @@ def main() -> None:
     keys = ["l_orderkey", "l_linenumber"]
     silver = ratings_silver(ratings).drop("rating_timestamp")
 
+    def film_totals() -> DataFrame:
+        return insights.film_totals(movies, ratings)
+
     def plain_gold() -> DataFrame:
         return silver.na.drop().join(movies_silver(movies).na.drop(), "movieId")
 
@@ -85,11 +88,11 @@ def main() -> None:
 
     pairs = {
         "mean_by_year": {
-            "chosen": lambda: run(insights.avg_rating_by_year(insights.year_totals_of_films(movies, ratings))),
+            "chosen": lambda: run(insights.avg_rating_by_year(insights.year_totals_of_films(film_totals()))),
             "plain": lambda: run(plain_gold().groupBy("year").agg(F.avg("rating")).orderBy("year")),
         },
         "bayesian_mean": {
-            "chosen": lambda: run(insights.genre_bayesian_avg(insights.genre_totals_of_films(movies, ratings))),
+            "chosen": lambda: run(insights.genre_bayesian_avg(insights.genre_totals_of_films(film_totals()))),
             "plain": plain_bayesian,
         },
         "null_ratios": {"chosen": lambda: run(null_ratios(silver)), "plain": plain_nulls},

@@ -4,10 +4,11 @@ Every mean is over gold rows, so a rating weighs as many times as its film has g
 name.
 
 Each insight needs only counts and sums per group. They can be taken from a gold table (``genre_totals``,
-``year_totals``), or from the tables as read without building gold rows (``genre_totals_of_films``,
-``year_totals_of_films``). The second way sums the ratings of each film first. That is one row per film and task to
+``year_totals``), or from the tables as read without building gold rows: ``film_totals`` sums the ratings of each film,
+``genre_totals_of_films`` and ``year_totals_of_films`` go on from there. That is at most one row per film and task to
 shuffle, whatever the number of ratings and however uneven they are spread, and genres unfold on films instead of
-ratings. Both give the same totals.
+ratings. Both ways give the same totals. Written once, the film totals serve every insight without another look at the
+ratings.
 """
 
 from __future__ import annotations
@@ -49,25 +50,25 @@ def year_totals(gold: DataFrame) -> DataFrame:
     return _totals(gold.filter(F.col("year").isNotNull()), "year")
 
 
-def _film_totals(movies: DataFrame, ratings: DataFrame, drop_nulls: bool, *more_keys: str) -> DataFrame:
-    """Rating totals per film, joined with the film; both sides hold one row per film (and further key)."""
+def film_totals(movies: DataFrame, ratings: DataFrame, drop_nulls: bool = True, by_rating: bool = False) -> DataFrame:
+    """Rating totals per film (and rating value, if ``by_rating``) with the film's title, year and genres.
+
+    Both sides of the join hold one row per film and are shuffled by its id, so the join needs no further shuffle.
+    """
     rating_rows = silver.complete_ratings(ratings) if drop_nulls else silver.ratings_silver(ratings)
     film_rows = silver.complete_films(movies) if drop_nulls else silver.films(movies)
-    return _totals(rating_rows, "movieId", *more_keys).join(film_rows, "movieId", "inner")
+    keys = ["movieId", "rating"] if by_rating else ["movieId"]
+    return _totals(rating_rows, *keys).join(film_rows, "movieId", "inner")
 
 
-def genre_totals_of_films(movies: DataFrame, ratings: DataFrame, drop_nulls: bool = True) -> DataFrame:
-    return _added(silver.unfold_genres(_film_totals(movies, ratings, drop_nulls)), "genre")
+def genre_totals_of_films(films: DataFrame) -> DataFrame:
+    return _added(silver.unfold_genres(films), "genre")
 
 
-def year_totals_of_films(
-    movies: DataFrame, ratings: DataFrame, drop_nulls: bool = True, genre_weighted: bool = True
-) -> DataFrame:
+def year_totals_of_films(films: DataFrame, genre_weighted: bool = True) -> DataFrame:
     """Totals per year; a film's totals count once per genre, or once if not ``genre_weighted``."""
-    per_film = _film_totals(movies, ratings, drop_nulls).filter(
-        F.col("year").isNotNull() & (F.size("genre_list") > 0)
-    )
-    return _added(per_film, "year", F.size("genre_list") if genre_weighted else None)
+    in_gold = films.filter(F.col("year").isNotNull() & (F.size("genre_list") > 0))
+    return _added(in_gold, "year", F.size("genre_list") if genre_weighted else None)
 
 
 def genre_popularity(totals: DataFrame) -> DataFrame:
@@ -120,10 +121,9 @@ def rating_histogram(gold: DataFrame) -> DataFrame:
     return gold.groupBy("genre", "rating").agg(F.count("*").alias("num_rows"))
 
 
-def rating_histogram_of_films(movies: DataFrame, ratings: DataFrame, drop_nulls: bool = True) -> DataFrame:
-    """The same without building gold rows: counted per film and rating first."""
-    per_film = silver.unfold_genres(_film_totals(movies, ratings, drop_nulls, "rating"))
-    return per_film.groupBy("genre", "rating").agg(F.sum(_ROWS).alias("num_rows"))
+def rating_histogram_of_films(films_by_rating: DataFrame) -> DataFrame:
+    """The same from totals per film and rating value."""
+    return silver.unfold_genres(films_by_rating).groupBy("genre", "rating").agg(F.sum(_ROWS).alias("num_rows"))
 
 
 def _mean() -> Column:

@@ -93,7 +93,7 @@ def test_scans_get_filters_and_only_needed_columns(spark, tables, parquet):
     assert "TakeOrderedAndProject" in plan(exploration.most_rated(spark))
     clean = plan(complete_ratings(parquet[1]).select("movieId", "rating"))
     assert "GreaterThan(rating,0.0)" in clean and "IsNotNull(timestamp)" in clean
-    raw = plan(insights.genre_totals_of_films(*parquet, drop_nulls=False))
+    raw = plan(insights.genre_totals_of_films(insights.film_totals(*parquet, drop_nulls=False)))
     assert "ReadSchema: struct<movieId:int,rating:float>" in raw
 
 
@@ -113,7 +113,7 @@ def test_film_totals_join_without_another_shuffle(spark, parquet):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(insights.genre_totals_of_films(*parquet))
+        text = plan(insights.genre_totals_of_films(insights.film_totals(*parquet)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert text.count("hashpartitioning(movieId") == 2, "ratings and films once each"

@@ -195,19 +195,21 @@ def test_totals_both_ways(spark, drop_nulls, seed):
     movies_df, ratings_df = frames(spark, movies, ratings)
     gold_rows = brute.gold(movies, ratings, drop_nulls)
     gold_df = gold(movies_df, ratings_df, drop_nulls)
+    films = insights.film_totals(movies_df, ratings_df, drop_nulls)
     by_genre, by_year = brute.totals(gold_rows, 6), brute.totals([r for r in gold_rows if r[5] is not None], 5)
 
     def check(df, expected):
         assert brute.comparable(rows(df)) == brute.comparable((k, *v) for k, v in expected.items())
 
     check(insights.genre_totals(gold_df), by_genre)
-    check(insights.genre_totals_of_films(movies_df, ratings_df, drop_nulls), by_genre)
+    check(insights.genre_totals_of_films(films), by_genre)
     check(insights.year_totals(gold_df), by_year)
-    check(insights.year_totals_of_films(movies_df, ratings_df, drop_nulls), by_year)
+    check(insights.year_totals_of_films(films), by_year)
 
     histogram = brute.comparable((k[0], k[1], n) for k, n in _counts((r[6], r[2]) for r in gold_rows).items())
     assert brute.comparable(rows(insights.rating_histogram(gold_df))) == histogram
-    assert brute.comparable(rows(insights.rating_histogram_of_films(movies_df, ratings_df, drop_nulls))) == histogram
+    films_by_rating = insights.film_totals(movies_df, ratings_df, drop_nulls, by_rating=True)
+    assert brute.comparable(rows(insights.rating_histogram_of_films(films_by_rating))) == histogram
     assert brute.comparable(rows(insights.ratings_long(gold_df))) == brute.comparable((r[6], r[2]) for r in gold_rows)
 
 
@@ -223,7 +225,7 @@ def _counts(items):
 def sample(spark):
     movies, ratings = brute.make_movies(41, 80), brute.make_ratings(41, 600)
     movies_df, ratings_df = frames(spark, movies, ratings)
-    totals = insights.genre_totals_of_films(movies_df, ratings_df)
+    totals = insights.genre_totals_of_films(insights.film_totals(movies_df, ratings_df))
     return movies, ratings, movies_df, ratings_df, totals, brute.gold(movies, ratings, True)
 
 
@@ -263,7 +265,8 @@ def test_share(sample):
 
 def test_year_means_weigh_by_genre_unless_told_not_to(sample):
     movies, ratings, movies_df, ratings_df, _, gold_rows = sample
-    weighted = insights.avg_rating_by_year(insights.year_totals_of_films(movies_df, ratings_df))
+    films = insights.film_totals(movies_df, ratings_df)
+    weighted = insights.avg_rating_by_year(insights.year_totals_of_films(films))
     expected = {y: t[2] / t[1] for y, t in brute.totals(gold_rows, 5).items()}
     assert dict(rows(weighted)) == pytest.approx(expected)
     assert [y for y, _ in rows(weighted)] == sorted(expected)
@@ -273,9 +276,7 @@ def test_year_means_weigh_by_genre_unless_told_not_to(sample):
     for _, movie_id, rating, _ in filter(brute.is_complete, brute.ratings_silver(ratings)):
         if movie_id in year_of:
             once.setdefault(year_of[movie_id], []).append(rating)
-    plain = insights.avg_rating_by_year(
-        insights.year_totals_of_films(movies_df, ratings_df, genre_weighted=False)
-    )
+    plain = insights.avg_rating_by_year(insights.year_totals_of_films(films, genre_weighted=False))
     assert dict(rows(plain)) == pytest.approx({y: sum(r) / len(r) for y, r in once.items()})
 
 
