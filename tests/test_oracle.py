@@ -24,12 +24,6 @@ def duck():
     return connection
 
 
-def rows_of(table: pa.Table) -> list[tuple]:
-    names = sorted(table.column_names)
-    columns = [table.column(n).to_pylist() for n in names]
-    return sorted(zip(*columns), key=lambda row: [(v is not None, v) for v in row])
-
-
 def types_of(table: pa.Table) -> dict[str, str]:
     plain = {"large_string": "string", "timestamp[us, tz=UTC]": "zoned"}
     return {f.name: plain.get(str(f.type), str(f.type)) for f in sorted(table.schema, key=lambda f: f.name)}
@@ -42,8 +36,8 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", QUERIES)
 def test_same_as_sql(spark, duck, name):
     ours = QUERIES[name](spark, FOLDER).toArrow()
-    theirs = duck.execute(ORACLES[name]).to_arrow_table()
+    theirs = duck.sql(ORACLES[name]).to_arrow_table().select(ours.column_names)
     assert types_of(ours) == types_of(theirs)
-    ours_rows, their_rows = rows_of(ours), rows_of(theirs)
-    assert ours_rows, "an empty result checks nothing"
-    assert ours_rows == their_rows
+    assert ours.num_rows == theirs.num_rows > 0, "an empty result checks nothing"
+    for one, other in ((ours, theirs), (theirs, ours)):
+        assert duck.sql("SELECT * FROM one EXCEPT ALL SELECT * FROM other").limit(5).fetchall() == []
