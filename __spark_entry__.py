@@ -42,6 +42,11 @@ from starledger.sources import (
     write_csv,
 )
 
+try:  # the operators for training data; everything else works without them
+    from starledger.llm import queries as llm
+except ImportError:
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMALLEST_TABLES = "/root/testdata/sf0.001"
@@ -129,6 +134,15 @@ def _over_views(query: Callable[[SparkSession], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     """Every query by name, as a function of the session and the folder with the tables."""
+    return _own_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    """For each query the SQL that gives the same rows over the same tables, where SQL can express it."""
+    return _own_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         # scans and sinks
         "csv_scan_movies": lambda s, d: _csv_movies(s, d, stand_ins.movies),
@@ -293,8 +307,7 @@ _HIGH = """SELECT "userId", "movieId", rating FROM ratings WHERE rating > 4.5
     ORDER BY rating DESC, "userId", "movieId" """
 
 
-def oracle_sql() -> dict[str, str]:
-    """For each query the SQL that gives the same rows over the same tables."""
+def _own_sql() -> dict[str, str]:
     return {
         "csv_scan_movies": f"{_MOVIES} SELECT * FROM movies",
         "csv_scan_quoted_movies": f"""SELECT cast(p_partkey as int) AS "movieId",

@@ -8,16 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
+
+from starledger.session import shared_folder
 
 # A side measured up to this many bytes is broadcast.
 BROADCAST_LIMIT = 64 << 20
 # Rows of one key that one join task takes.
 ROWS_PER_SPLIT = 2_000_000
-# Upper bound on keys treated as hot. By counting alone, at most this many keys can hold total / MAX_HOT_KEYS rows each.
-MAX_HOT_KEYS = 100_000
+# Types whose values may be of any size and can't be looked into.
+UNBOUNDED_TYPES = {"VariantType", "PythonOnlyUDT", "GeometryType", "GeographyType"}
 
-_SPLITS, _SPLIT, _HOT_KEY, _ROWS = "__splits", "__split", "__hot_key", "__rows"
+_SPLITS, _SPLIT, _HOT_KEY, _ROWS, _SALT, _HOT_SALT = "__splits", "__split", "__hot_key", "__rows", "__salt", "__hot_salt"
 
 
 def _value_bytes(column: Column, data_type: DataType) -> Column:
@@ -27,6 +29,13 @@ def _value_bytes(column: Column, data_type: DataType) -> Column:
         return F.coalesce(
             F.aggregate(column, F.lit(0), lambda total, item: total + _value_bytes(item, data_type.elementType)), F.lit(0)
         ) + 32
+    if isinstance(data_type, MapType):
+        keys, values = ArrayType(data_type.keyType), ArrayType(data_type.valueType)
+        return _value_bytes(F.map_keys(column), keys) + _value_bytes(F.map_values(column), values)
+    if isinstance(data_type, StructType):
+        return sum((_value_bytes(column.getField(f.name), f.dataType) for f in data_type.fields), F.lit(16))
+    if type(data_type).__name__ in UNBOUNDED_TYPES:
+        raise TypeError(f"the size of a {data_type.simpleString()} value has no bound here")
     return F.lit(16)
 
 
@@ -38,39 +47,59 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes.cast("bigint")), F.lit(0))).first()[0]
 
 
-def split_join(large: DataFrame, small: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def split_join(
+    large: DataFrame,
+    small: DataFrame,
+    key: str,
+    rows_per_split: int = ROWS_PER_SPLIT,
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
     """Shuffled inner join in which no task gets much more than ``rows_per_split`` rows of one key.
 
-    A first pass over the key column counts rows per key. A key above the bound gets one split per ``rows_per_split``
-    rows; its rows are dealt to the splits, and its matches in ``small`` are repeated once per split. All other keys are joined as usual. Every row meets each of its matches exactly once.
+    A first pass over the key column counts rows per key; it runs when this is called. A key above the bound is hot: it
+    gets one split per ``rows_per_split`` rows, its rows are dealt to the splits, and its matches in ``small`` are
+    repeated once per split. All other keys are joined as usual. Every row meets each of its matches exactly once.
 
-    The list of hot keys is broadcast. A key is hot from ``max(rows_per_split, rows / MAX_HOT_KEYS)`` rows on, so the
-    list cannot be longer than ``MAX_HOT_KEYS`` whatever the data.
+    The list of hot keys is written to the shared folder and measured. Up to ``broadcast_limit`` bytes it is broadcast.
+    Beyond, the split counts reach ``large`` by a join on the key and a salt, so a hot key is spread there as well.
 
     The split of a row follows from its content and the number of its input partition. Rows that differ part by content,
     equal rows by partition, and one partition is small. Neither depends on the order of rows, so a task that is repeated
     after a loss deals the same rows to the same splits.
     """
+    spark = large.sparkSession
     large = large.filter(F.col(key).isNotNull())
     small = small.filter(F.col(key).isNotNull())
 
     counts = large.groupBy(key).agg(F.count("*").alias(_ROWS))
-    total = counts.agg(F.sum(_ROWS)).scalar()
-    bound = F.greatest(F.lit(rows_per_split).cast("double"), total / MAX_HOT_KEYS)
-    hot = F.broadcast(
-        counts.filter(F.col(_ROWS) > bound).select(
-            F.col(key).alias(_HOT_KEY), F.ceil(F.col(_ROWS) / rows_per_split).cast("int").alias(_SPLITS)
-        )
+    found = counts.filter(F.col(_ROWS) > rows_per_split).select(
+        F.col(key).alias(_HOT_KEY), F.ceil(F.col(_ROWS) / rows_per_split).cast("int").alias(_SPLITS)
     )
-
-    def with_splits(df: DataFrame) -> DataFrame:
-        return df.join(hot, F.col(key) == F.col(_HOT_KEY), "left").drop(_HOT_KEY)
-
-    by_content = F.pmod(F.xxhash64(*[F.col(c) for c in large.columns]), F.col(_SPLITS))
-    turn = ((by_content + F.spark_partition_id()) % F.col(_SPLITS)).cast("int")
-    dealt = with_splits(large).withColumn(_SPLIT, F.when(F.col(_SPLITS).isNull(), 0).otherwise(turn)).drop(_SPLITS)
+    folder = shared_folder(spark, "hot-keys")
+    found.write.parquet(folder)
+    hot = spark.read.schema(found.schema).parquet(folder)
+    most = hot.agg(F.max(_SPLITS)).first()[0]
+    if most is None:
+        return large.join(small, key, "inner")
+
+    by_content = F.xxhash64(*[F.col(c) for c in large.columns])
+    on_key = F.col(key) == F.col(_HOT_KEY)
+    if measured_bytes(hot) <= broadcast_limit:
+        marked = large.join(F.broadcast(hot), on_key, "left")
+    else:
+        salts = min(most, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        spread = hot.withColumn(_HOT_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        # A different hash than the one that picks the split: the two are independent.
+        salted = large.withColumn(_SALT, F.pmod(F.hash(*[F.col(c) for c in large.columns]), F.lit(salts)))
+        on_salt = on_key & (F.col(_SALT) == F.col(_HOT_SALT))
+        marked = salted.join(spread.hint("merge"), on_salt, "left").drop(_SALT, _HOT_SALT)
+    turn = (F.pmod(by_content + F.spark_partition_id(), F.col(_SPLITS).cast("bigint"))).cast("int")
+    dealt = marked.withColumn(_SPLIT, F.coalesce(turn, F.lit(0))).drop(_HOT_KEY, _SPLITS)
     last = F.coalesce(F.col(_SPLITS), F.lit(1)) - 1
-    repeated = with_splits(small).withColumn(_SPLIT, F.explode(F.sequence(F.lit(0), last))).drop(_SPLITS)
-
+    repeated = (
+        small.join(hot, on_key, "left")
+        .withColumn(_SPLIT, F.explode(F.sequence(F.lit(0), last)))
+        .drop(_HOT_KEY, _SPLITS)
+    )
     joined = dealt.join(repeated, [key, _SPLIT], "inner")
     return joined.drop(_SPLIT)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 # AQE coalesces and splits shuffle partitions at run time, so the static number only has to be large enough: it is the
 # upper bound on reducers. Raise it with the data (about one per 200 MB of shuffle). UTC keeps timestamps comparable.
@@ -33,14 +33,16 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, unused folder path for a table that several executors write and read.
+    """A new, unused folder path for a table that several executors write and read; it goes when the session ends.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``. A machine-local folder is used only by a local
-    session that names none, because there the driver and the executors are one process.
+    It lies in the folder set by ``SparkContext.setCheckpointDir``, else in the one the cluster names in
+    ``spark.checkpoint.dir``. A session with neither, as in a local trial, keeps it in its warehouse, which executors
+    share as well.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="starledger-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get(WAREHOUSE_DIR)}/_shared"
+    folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
