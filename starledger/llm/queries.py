@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import packing, sharding, token_counts
-from starledger.llm.common import ship, table
+from starledger.llm import decontamination, language_id, packing, quality_rules, sharding, token_counts, warc
+from starledger.llm.common import held_out, ship, table
+from starledger.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,22 +18,49 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def _op1_warc_shards(spark: SparkSession, folder: str) -> DataFrame:
+    archive = shared_folder(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), archive)
+    return warc.read_archives(spark, archive).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def _op3_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(_documents(spark, folder))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def _op4_weak_supervision_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(_documents(spark, folder))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "posterior")
+
+
+def _op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.report(_documents(spark, folder), table(spark, folder, "benchmark"))
+
+
 def _op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, folder))
 
 
+def _op8_ppm_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    found = language_id.identify(docs, language_id.train(docs))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def _op9_karmarkar_karp_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(_documents(spark, folder))
 
 
 _QUERIES: dict[str, Query] = {
+    "op1_warc_shards": _op1_warc_shards,
     "op3_power_of_two_packing": _op3_power_of_two_packing,
+    "op4_weak_supervision_rules": _op4_weak_supervision_rules,
+    "op5_benchmark_decontamination": _op5_benchmark_decontamination,
     "op6_token_counts": _op6_token_counts,
+    "op8_ppm_language_id": _op8_ppm_language_id,
     "op9_karmarkar_karp_shards": _op9_karmarkar_karp_shards,
 }
 
