@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import decontamination, language_id, packing, quality_rules, sharding, token_counts, warc
+from starledger.llm import decontamination, language_id, near_duplicates, packing, quality_rules, sharding, token_counts, warc
 from starledger.llm.common import held_out, ship, table
 from starledger.session import shared_folder
 
@@ -54,6 +54,13 @@ def _op9_karmarkar_karp_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(_documents(spark, folder))
 
 
+def _op10_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(_documents(spark, folder), words=3, similarity_pct=85)
+    return found.select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
 _QUERIES: dict[str, Query] = {
     "op1_warc_shards": _op1_warc_shards,
     "op3_power_of_two_packing": _op3_power_of_two_packing,
@@ -62,6 +69,7 @@ _QUERIES: dict[str, Query] = {
     "op6_token_counts": _op6_token_counts,
     "op8_ppm_language_id": _op8_ppm_language_id,
     "op9_karmarkar_karp_shards": _op9_karmarkar_karp_shards,
+    "op10_minhash_near_duplicates": _op10_minhash_near_duplicates,
 }
 
 
