@@ -96,11 +96,14 @@ def contaminated_spans(
         return F.when(F.size(words) >= length, hashed).otherwise(F.array().cast(hashed_type))
 
     hashed_type = "array<struct<length:int,start:int,hash:bigint>>"
-    at = F.concat(*[of_length(F.col("words"), n) for n in lengths]) if lengths else F.array().cast(hashed_type)
-    # The array is a column of its own first: the generator is then compiled, and rows of it don't copy the words.
-    placed = rows.withColumn("windows", at).select("doc_id", "text_hash", "words", F.inline("windows"))
+    at = F.array().cast(hashed_type)
+    if lengths:
+        at = let(F.col("words"), lambda words: F.concat(*[of_length(words, n) for n in lengths]))
+    # The array is a column of its own first: the generator is then compiled, and rows of it don't copy the words. The
+    # outer form keeps the planner from testing the array beforehand, which would compute it twice.
+    placed = rows.withColumn("windows", at).select("doc_id", "text_hash", "words", F.inline_outer("windows"))
     known = windows.withColumnsRenamed({"hash": "known_hash", "length": "known_length"})
-    same = (F.col("hash") == F.col("known_hash")) & (F.col("length") == F.col("known_length"))
+    same = F.col("hash") == F.col("known_hash")  # windows of other lengths fail the verification
     own = F.array_join(F.slice("words", F.col("start") + 1, F.col("length")), " ")
     # Each the start of the other: equal, but not an equality that the planner would compute for all rows as a join key.
     verified = own.startswith(F.col("window")) & F.col("window").startswith(own)
