@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import decontamination, language_id, near_duplicates, packing, quality_rules, sharding, token_counts, warc
+from starledger.llm import decontamination, language_id, near_duplicates, packing, quality_classifier, quality_rules, sharding, token_counts, warc
 from starledger.llm.common import held_out, ship, table
 from starledger.session import shared_folder
 
@@ -26,6 +26,13 @@ def _op1_warc_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _op2_attention_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    model = quality_classifier.train(docs, table(spark, folder, "labels"))
+    scored = quality_classifier.classify(docs, model)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "n_passages")
+
+
 def _op3_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(_documents(spark, folder))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -63,6 +70,7 @@ def _op10_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame
 
 _QUERIES: dict[str, Query] = {
     "op1_warc_shards": _op1_warc_shards,
+    "op2_attention_quality": _op2_attention_quality,
     "op3_power_of_two_packing": _op3_power_of_two_packing,
     "op4_weak_supervision_rules": _op4_weak_supervision_rules,
     "op5_benchmark_decontamination": _op5_benchmark_decontamination,
