@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -42,8 +43,8 @@ def per_batch(
     form, in which ``$name`` stands for the type of the input column ``name``.
     """
     picked = df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
-    for field in picked.schema.fields:
-        fields = fields.replace(f"${field.name}", field.dataType.simpleString())
+    types = {field.name: field.dataType.simpleString() for field in picked.schema.fields}
+    fields = re.sub(r"\$(\w+)", lambda m: types[m[1]], fields)
     schema = _nullable(StructType.fromDDL(fields))
     arrow = _arrow_schema(schema)
 
@@ -57,6 +58,21 @@ def per_batch(
     return picked.mapInArrow(run, schema)
 
 
+def filter_rows(df: DataFrame, columns: dict[str, str], keep: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """The rows of ``df`` for which ``keep`` gives true, all columns unchanged, in one pass.
+
+    ``columns`` maps names inside the task to columns of ``df``; columns of any other name may clash with none of them.
+    """
+    others = {f"c{i}": c for i, c in enumerate(df.columns)}
+    fields = ", ".join(f"{name} ${name}" for name in others)
+
+    def chosen(batch: pa.RecordBatch) -> Iterator[dict]:
+        mask = keep(batch)
+        yield {name: batch.column(name).filter(mask) for name in others}
+
+    return per_batch(df, columns | others, fields, chosen).withColumnsRenamed(others)
+
+
 def _nullable(schema: StructType) -> StructType:
     return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starledger.llm.common import held_out, per_batch, slices, written
+from starledger.llm.common import filter_rows, held_out, per_batch, slices, written
 
 # Bytes per entry of the tree: a context of up to four bytes and what follows.
 DEPTH = 5
@@ -30,8 +30,8 @@ TRAIN_BYTES = 65_536
 # Entries of four and five bytes that occur only once are left out of the frozen trees.
 PRUNED_FROM, LEAST = 4, 2
 UNKNOWN = "und"
-# Bits per byte that need no model at all; a text that no language codes shorter is in none.
-UNIFORM_BITS = 8.0
+# Bits per byte that need no model at all, and how much worse than that a text may be coded before it is in no language.
+UNIFORM_BITS, REJECT_BITS = 8.0, 64.0
 
 LETTER = re.compile(r"[^\W\d_]")
 SLICE_BYTES = 1_000_000
@@ -225,32 +225,57 @@ def code_lengths(texts: list[str], trees: Trees) -> np.ndarray:
     return out
 
 
-def identify(docs: DataFrame, trees: Trees, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, lang_pred, score, bits_per_byte`` for every row of ``docs``, and the columns ``keep``, in one pass.
+def _judged(texts: list[str | None], trees: Trees) -> tuple[list[str], list[float], list[float | None]]:
+    """Language, probability and bits of each text."""
+    real = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if trees.languages else []
+    langs, scores, bits = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts)
+    if real:
+        lengths = code_lengths([texts[i] for i in real], trees)
+        best = lengths.argmin(axis=1)
+        least = lengths[np.arange(len(real)), best]
+        chance = 1 / np.exp2(np.maximum(least[:, None] - lengths, -1000)).sum(axis=1)
+        for j, i in enumerate(real):
+            langs[i], scores[i], bits[i] = trees.languages[best[j]], float(chance[j]), float(least[j])
+    return langs, scores, bits
+
+
+def _size(text: str) -> int:
+    return len(text.encode("utf-8", "surrogatepass"))
+
+
+def identify(docs: DataFrame, trees: Trees, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, lang_pred, score, bits_per_byte`` for every row of ``docs``, in one pass.
 
     ``lang_pred`` is ``und`` and ``score`` 0 for a null text, one without a letter, or if no language was learned.
     Otherwise the score is the probability of the language given the text, all languages being equally likely before.
-    Ties go to the language that sorts first. Very long texts are coded whole.
+    Ties go to the language that sorts first. Very long texts are coded whole. Other columns are ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(trees)
-    names = {f"keep_{i}": c for i, c in enumerate(keep)}
 
     def score(batch: pa.RecordBatch) -> Iterator[dict]:
-        trees, texts = model.value, batch.column("text").to_pylist()
-        real = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if trees.languages else []
-        langs, scores, rates = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts)
-        if real:
-            lengths = code_lengths([texts[i] for i in real], trees)
-            best = lengths.argmin(axis=1)
-            least = lengths[np.arange(len(real)), best]
-            chance = 1 / np.exp2(np.maximum(least[:, None] - lengths, -1000)).sum(axis=1)
-            for j, i in enumerate(real):
-                langs[i], scores[i] = trees.languages[best[j]], float(chance[j])
-                rates[i] = float(least[j]) / max(1, len(texts[i].encode("utf-8", "surrogatepass")))
-        out = {"doc_id": batch.column("doc_id"), "lang_pred": langs, "score": scores, "bits_per_byte": rates}
-        yield out | {name: batch.column(name) for name in names}
+        texts = batch.column("text").to_pylist()
+        langs, scores, bits = _judged(texts, model.value)
+        rates = [None if b is None else b / _size(t) for b, t in zip(bits, texts, strict=True)]
+        yield {"doc_id": batch.column("doc_id"), "lang_pred": langs, "score": scores, "bits_per_byte": rates}
 
     fields = "doc_id $doc_id, lang_pred string, score double, bits_per_byte double"
-    fields += "".join(f", {name} ${name}" for name in names)
-    scored = per_batch(docs, {"doc_id": doc_id, "text": text} | names, fields, score)
-    return scored.withColumnsRenamed(names)
+    return per_batch(docs, {"doc_id": doc_id, "text": text}, fields, score)
+
+
+def in_a_language(docs: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is in one of the languages, all columns unchanged.
+
+    Rejected are texts identified as ``und``, and those that the best language codes with over ``REJECT_BITS`` bits more
+    than a uniform code needs: no language explains them. A short text can't exceed that by chance.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def keep(batch: pa.RecordBatch) -> pa.Array:
+        texts = batch.column("text").to_pylist()
+        langs, _, bits = _judged(texts, model.value)
+        return pa.array(
+            [x != UNKNOWN and b <= UNIFORM_BITS * _size(t) + REJECT_BITS for x, b, t in zip(langs, bits, texts, strict=True)],
+            pa.bool_(),
+        )
+
+    return filter_rows(docs, {"text": text}, keep)

@@ -310,30 +310,64 @@ def near_duplicates(
     hub_rounds: int = HUB_ROUNDS,
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """``doc_id, text_key, n_shingles, component_id`` for every row of ``docs``.
+    """``doc_id, text_key, n_shingles, component_id, kept`` for every row of ``docs``.
 
     Two documents are linked if ``100 * common >= similarity_pct * union`` holds for their sets of shingles of ``words``
     words; ``component_id`` is the smallest id that links lead to, the own included. A null text and one without words
     have no shingles and no links. Rows that repeat a text share a component; a null id is no smallest id, unless a
-    component holds no other. Texts of any length count whole.
+    component holds no other. ``kept`` is true for the rows of the smallest id and, should texts share it, the smallest
+    digest of them; rows without shingles are all kept. Texts of any length count whole.
     """
     rows = written(signatures(docs, doc_id, text, words, band_rows(similarity_pct / 100, hashes), hashes), "signatures")
     full = rows.filter(F.col("set_key").isNotNull())
-    own = full.groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("least"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
-    classes = written(
-        own.select("set_key", F.col("least.text_key").alias("node"), F.col("least.doc_id").alias("first_id"), "bands", "signature"), "classes"
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")).alias("least")
+    own = full.groupBy("set_key").agg(least, F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    picked = own.select(
+        "set_key", "least", F.col("least.text_key").alias("node"), F.col("least.doc_id").alias("first_id"), "bands", "signature"
     )
+    classes = written(picked, "classes")
     linker = _Linker(docs, classes, text, doc_id, words, similarity_pct, hashes, broadcast_limit)
     for number in range(hub_rounds):
         linker.hub_round(number)
     linker.last_round()
-    nodes = classes.select("set_key", "node", "first_id")
+    nodes = classes.select("set_key", "node", "least")
     linked = nodes.join(components(linker.links), "node")
-    least = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    moved = linked.join(least, "component").select("set_key", "component_id")
-    by_set = written(
-        nodes.join(moved, "set_key", "left").select("set_key", F.coalesce("component_id", "first_id").alias("component_id")), "set-components"
+    first = linked.groupBy("component").agg(F.min("least").alias("first"))
+    moved = linked.join(first, "component").select("set_key", "first")
+    by_set = nodes.join(moved, "set_key", "left").select("set_key", F.coalesce("first", "least").alias("first"))
+    found = split_join(full.select("doc_id", "text_key", "n_shingles", "set_key"), written(by_set, "set-components"), "set_key")
+    found = found.select(
+        "doc_id",
+        "text_key",
+        "n_shingles",
+        F.col("first.doc_id").alias("component_id"),
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))).alias("kept"),
     )
-    found = split_join(full.select("doc_id", "text_key", "n_shingles", "set_key"), by_set, "set_key").drop("set_key")
-    alone = rows.filter(F.col("set_key").isNull()).select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"))
-    return found.select("doc_id", "text_key", "n_shingles", "component_id").unionByName(alone)
+    alone = rows.filter(F.col("set_key").isNull())
+    alone = alone.select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return found.unionByName(alone)
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_limit: int = BROADCAST_LIMIT, **options) -> DataFrame:
+    """``docs`` with one row of each component of near duplicates, all columns unchanged.
+
+    Of rows that repeat the id and the text of the kept one, any one stays. Rows without shingles all stay.
+    """
+    judged = written(near_duplicates(docs, doc_id, text, broadcast_limit=broadcast_limit, **options), "near-duplicates")
+    keys = ["doc_id", "text_key"]
+    named = dict(zip(keys, ("__own_id", "__own_key"), strict=True))
+    dropped = judged.filter(~F.col("kept")).select(keys).distinct().withColumnsRenamed(named)
+    repeated = judged.filter(F.col("kept") & (F.col("n_shingles") > 0)).groupBy(keys).agg(F.count("*").alias("n"))
+    repeated = repeated.filter(F.col("n") > 1).select(keys).withColumnsRenamed(named)
+
+    value = F.unhex(F.md5(F.col(f"`{text}`").cast("binary")))
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__own_id")) & (value == F.col("__own_key"))
+
+    def listed(df: DataFrame) -> DataFrame:
+        df = written(df, "listed-rows")
+        return F.broadcast(df) if measured_bytes(df) <= broadcast_limit else df
+
+    dropped, repeated = listed(dropped), listed(repeated)
+    once = docs.join(dropped, same, "left_anti").join(repeated, same, "left_anti")
+    again = docs.join(repeated, same).dropDuplicates(["__own_id", "__own_key"]).drop("__own_id", "__own_key")
+    return once.unionByName(again)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import decontamination, language_id, near_duplicates, packing, quality_classifier, quality_rules, sharding, token_counts, warc
+import corpus_pipeline
+from starledger.llm import decontamination, language_id, near_duplicates, packing, quality_classifier, quality_rules
+from starledger.llm import repeated_text, sharding, token_counts, warc
 from starledger.llm.common import held_out, ship, table
 from starledger.session import shared_folder
 
@@ -51,6 +53,10 @@ def _op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, folder))
 
 
+def _op7_repeated_text(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_text.report(_documents(spark, folder))
+
+
 def _op8_ppm_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
     found = language_id.identify(docs, language_id.train(docs))
@@ -63,9 +69,7 @@ def _op9_karmarkar_karp_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 def _op10_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates.near_duplicates(_documents(spark, folder), words=3, similarity_pct=85)
-    return found.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 _QUERIES: dict[str, Query] = {
@@ -75,9 +79,11 @@ _QUERIES: dict[str, Query] = {
     "op4_weak_supervision_rules": _op4_weak_supervision_rules,
     "op5_benchmark_decontamination": _op5_benchmark_decontamination,
     "op6_token_counts": _op6_token_counts,
+    "op7_repeated_text": _op7_repeated_text,
     "op8_ppm_language_id": _op8_ppm_language_id,
     "op9_karmarkar_karp_shards": _op9_karmarkar_karp_shards,
     "op10_minhash_near_duplicates": _op10_minhash_near_duplicates,
+    "pipeline": corpus_pipeline.run,
 }
 
 
