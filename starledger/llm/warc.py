@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 from starledger.llm.common import written
 from starledger.operators.joins import BROADCAST_LIMIT, measured_bytes, split_join
 
-# Compressed bytes after which a file is closed, and payload bytes per shard.
+# Compressed bytes after which a file is closed, payload bytes per shard, and the number of shards beyond which they grow.
 FILE_BYTES = 64 << 20
-SHARD_BYTES = 256 << 20
+SHARD_BYTES = 32 << 20
+MOST_SHARDS = 20_000
 # Ids sampled per shard to place its bounds.
 SAMPLE_PER_SHARD = 64
 # The tables hold no time of capture; a constant keeps archives equal from run to run.
@@ -112,10 +113,10 @@ def _bounds(narrow: DataFrame, shard_bytes: int) -> list:
     """Ids at which a new shard begins.
 
     They are quantiles of the ids whose hashes are smallest: an even sample, the same on every run, and of a size that
-    follows from the number of shards.
+    is bounded by the number of shards.
     """
     total = narrow.agg(F.sum("bytes")).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    shards = min(max(1, -(-total // shard_bytes)), MOST_SHARDS)
     if shards == 1:
         return []
     sample = narrow.select("page_id").filter(F.col("page_id").isNotNull())
