@@ -7,9 +7,13 @@ small-star.
 
 Only the components are wanted, so no bucket is expanded into pairs. Texts with equal sets are one node. Then, in rounds,
 each bucket that still spans several components offers its members one hub, and each node tries the hub it shares most
-buckets with: near copies join their component here, at one trial per node and round. After that, the members of a
-bucket outside its largest component meet every member of another component. Whatever two nodes share a bucket then
-either are connected or have been compared, so no link is lost, and pairs within a component are never made.
+buckets with: near copies join their component here, at one trial per node and round. First hubs are the members that
+share buckets with most others, as the text that a family of copies was made from does; later ones go by a hash, and
+rounds end once they link few of those who try. After that, the members of a
+bucket outside its largest component meet every member of another component; parity sketches of the sets, which give a
+lower bound of their difference, rule out most of these before they become rows. Whatever two nodes share a bucket then
+either are connected, or have been compared, or can't be linked: no link is lost, and pairs within a component are never
+made.
 """
 
 from __future__ import annotations
@@ -30,10 +34,12 @@ SHINGLE_WORDS = 5
 SIMILARITY_PCT = 80
 # Largest chance that a pair at the threshold shares no bucket.
 MISS = 1e-7
-# Rounds in which each node tries one hub.
-HUB_ROUNDS = 2
+# Rounds in which each node tries one hub, at most, and the share of trials that must succeed for another round.
+HUB_ROUNDS, WORTH_ANOTHER = 4, 0.05
 # A pair whose signatures agree in fewer places than this many standard deviations below the threshold isn't compared.
 DEVIATIONS = 6
+# Bits of the sketches that rule pairs out.
+SKETCH_BITS = 2048
 SEED = 20_240_607
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -200,6 +206,21 @@ def _verifier(words: int, pct: int):
     return verify
 
 
+def _sketcher(words: int):
+    """For each text the size of its set, and a bit per class of shingles: whether it has an odd number of them."""
+
+    def sketch(batch: pa.RecordBatch) -> Iterator[dict]:
+        sizes, bits = [], []
+        for text in batch.column("text"):
+            found = shingles(text.as_py(), words)
+            odd = np.bincount((found % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+            sizes.append(len(found))
+            bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+        yield {"node": batch.column("node"), "n": sizes, "sketch": bits}
+
+    return sketch
+
+
 class _Linker:
     """Candidates, trials and verified links over the nodes that share a bucket with another."""
 
@@ -235,42 +256,65 @@ class _Linker:
         mixed = mixed.filter(F.col("least") != F.col("most")).select("bucket")
         return written(_joined(members, mixed, "bucket", self.size).select("bucket", "node", "component"), "mixed-buckets")
 
-    def hub_round(self, number: int) -> None:
-        """Each node tries the hub that it shares most buckets with."""
+    def hub_round(self, number: int) -> bool:
+        """Each node tries the hub that it shares most buckets with; whether another round is worth it."""
         members = self.in_components()
         size = members.count()
         if not size:
-            return
-        order = F.struct(F.xxhash64("node", F.lit(number)).alias("order"), F.col("node").alias("hub"), F.col("component").alias("hub_component"))
+            return False
+        if number == 0:
+            sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
+            met = _joined(members, sizes, "bucket", size).groupBy("node").agg(F.sum("n").alias("met"))
+            members, first = written(_joined(members, met, "node", size), "popular-members"), -F.col("met")
+        else:
+            first = F.xxhash64("node", F.lit(number))
+        order = F.struct(first.alias("order"), F.col("node").alias("hub"), F.col("component").alias("hub_component"))
         hubs = members.groupBy("bucket").agg(F.min(order).alias("h")).select("bucket", "h.hub", "h.hub_component")
         offers = _joined(members, hubs, "bucket", size).filter(F.col("component") != F.col("hub_component"))
         counted = offers.groupBy("node", "hub").agg(F.count("*").alias("n"))
         best = counted.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
-        self._try(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b")))
+        tried, linked = self._try(best.select(F.col("node").alias("a"), F.col("best.hub").alias("b")))
+        return linked > WORTH_ANOTHER * tried
 
     def last_round(self) -> None:
-        """All pairs of bucket members in different components."""
+        """All pairs of bucket members in different components that their sketches don't rule out."""
         members = self.in_components()
         size = members.count()
         if not size:
             return
+        unlinked = members.select("node").distinct()
+        columns = {"node": "node", "text": "text"}
+        sketched = per_batch(
+            self.texts.join(unlinked, "node"), columns, "node binary, n bigint, sketch array<bigint>", _sketcher(self.words)
+        )
+        members = _joined(members, written(sketched, "sketches"), "node", size)
         sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
         main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main")).select("bucket", F.col("main.component").alias("main"))
         marked = written(_joined(members, main, "bucket", size), "marked-buckets")
-        few = marked.filter(F.col("component") != F.col("main")).select("bucket", F.col("node").alias("a"), F.col("component").alias("of_a"))
-        every = marked.select("bucket", F.col("node").alias("b"), F.col("component").alias("of_b"), "main")
+        few = marked.filter(F.col("component") != F.col("main")).select(
+            "bucket", F.col("node").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")
+        )
+        every = marked.select(
+            "bucket", F.col("node").alias("b"), F.col("component").alias("of_b"), "main", F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b")
+        )
         # Two members outside the main component meet once; a member of the main component meets each of the others.
         once = (F.col("of_b") == F.col("main")) | (F.col("a") < F.col("b"))
-        met = _joined(every, few, "bucket", size).filter((F.col("of_a") != F.col("of_b")) & once)
+        # Shingles that only one of the two has: at least as many as bits in which the sketches differ, and at most this
+        # share of all if the two are to be linked. So what the sketches rule out can't be a link.
+        apart = sum(
+            (F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0)
+        )
+        possible = (100 + self.pct) * apart <= (100 - self.pct) * (F.col("n_a") + F.col("n_b"))
+        met = _joined(every, few, "bucket", size).filter((F.col("of_a") != F.col("of_b")) & once & possible)
         self._try(met.select("a", "b"))
 
-    def _try(self, pairs: DataFrame) -> None:
-        """Verify pairs that haven't been tried: signatures first, then the full sets."""
+    def _try(self, pairs: DataFrame) -> tuple[int, int]:
+        """Verify pairs that haven't been tried, signatures first, then the full sets. How many were, and are linked."""
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = written(ordered.join(self.tried, ["a", "b"], "left_anti"), "pairs")
         size = new.count()
         if not size:
-            return
+            return 0, 0
         signs = self.nodes.select("node", "signature")
         near = self._with(new, signs, "signature", size)
         share = self.pct / 100
@@ -289,8 +333,10 @@ class _Linker:
         met = self._with(close, self.texts, "text", size)
         columns = {"a": "a", "b": "b", "ta": "text_a", "tb": "text_b"}
         linked = per_batch(met, columns, "a binary, b binary", _verifier(self.words, self.pct))
-        self.links = written(self.links.unionByName(linked.distinct()), "links")
-        self.tried = written(self.tried.unionByName(new), "tried-pairs")
+        linked = written(linked.distinct(), "new-links")
+        self.links = self.links.unionByName(linked)
+        self.tried = self.tried.unionByName(new)
+        return size, linked.count()
 
     @staticmethod
     def _with(pairs: DataFrame, values: DataFrame, name: str, size: int) -> DataFrame:
@@ -328,7 +374,8 @@ def near_duplicates(
     classes = written(picked, "classes")
     linker = _Linker(docs, classes, text, doc_id, words, similarity_pct, hashes, broadcast_limit)
     for number in range(hub_rounds):
-        linker.hub_round(number)
+        if not linker.hub_round(number):
+            break
     linker.last_round()
     nodes = classes.select("set_key", "node", "least")
     linked = nodes.join(components(linker.links), "node")
