@@ -33,6 +33,20 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that no later step reads, and let the driver forget finished shuffles.
+
+    What was derived from them has been written itself, so a lost executor needs none of them.
+    """
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
+
+
 def per_batch(
     df: DataFrame, columns: dict[str, str], fields: str, function: Callable[[pa.RecordBatch], Iterator[dict]]
 ) -> DataFrame:

@@ -12,28 +12,31 @@ sampled suffix and its name. Three things differ from the textbook form, and eac
   after two levels instead of recursing until names are unique. Suffixes with a name of their own are dropped at once.
 * Suffixes are ordered by digests of their bytes: equal neighbours are wanted, and any order brings them together.
 
-The steps: (1) name every sample by the bytes common to all strings it serves, keep names that occur twice; (2) name the
-samples left by all the bytes that their strings reach: where this longer name occurs twice, all of those strings do; (3)
-for the others, and for one sample of each longer name beside them, list the strings themselves and compare neighbours.
-What (3) lists lies at the ends of repeated passages, so it stays small.
+The strings that a sample serves form a block. The steps: (1) name every sample by the bytes common to all strings of its
+block, keep names that occur twice; (2) name the blocks left by all their bytes: where this longer name occurs twice, all
+strings of the block do; (3) of the others, and of one block of each longer name beside them, split the block and go on
+with its parts by (2), down to single strings. What is split lies at the ends of repeated passages, so it stays small.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import per_batch, slices, written
+from starledger.llm.common import discard, per_batch, slices, written
 from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured_bytes, split_join
 
 LENGTH = 200
 GRAM = 8
 SLICE_BYTES = 1_000_000
+# Parts that a block is split into.
+PARTS = 8
 _P = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -155,64 +158,37 @@ def repeated_ranges(
     left = _joined(samples, written(again, "repeated-names"), "name", broadcast_limit)
     by_text = written(left.groupBy("key").agg(F.sort_array(F.collect_list("at")).alias("at")), "samples-left")
 
-    # 2. Longer names: all bytes of all strings around a sample, as far as the text goes.
-    def rename(batch: pa.RecordBatch) -> Iterator[dict]:
-        for data, keys, listed in _by_slices(batch, ("at",)):
-            of, at, begin, end = _around(data, listed, far, length - near)
-            name = data.digests(at - near, at + length - far, 0)
-            digests = np.column_stack([name, *(data.digests(begin, end, k) for k in (0, 1))])
-            yield {
-                "key": keys.take(pa.array(of)),
-                "at": pa.array(at - data.starts[of]),
-                "name": pa.array(name.view(np.int64)),
-                "longer": _binary(digests),
-            }
-
-    longer = written(
-        both(rename, plain | {"at": "at"}, "key binary, at int, name bigint, longer binary", by_text), "longer-names"
-    )
-    classes = longer.groupBy("name", "longer").agg(F.count("*").alias("n"), F.min(F.struct("key", "at")).alias("first"))
-    classes = written(classes, "name-classes")
-    spread = classes.groupBy("name").agg(F.min("longer").alias("least"), F.max("longer").alias("most"))
-    mixed = written(spread.filter(F.col("least") != F.col("most")).select("name"), "mixed-names")
-    # Samples to look into: those whose longer name is their own, and one of each longer name beside another.
-    single = classes.filter(F.col("n") == 1)
-    beside = _joined(classes.filter(F.col("n") > 1), mixed, "name", broadcast_limit)
-    listed = single.select("first.*").unionByName(beside.select("first.*"))
-    opened = written(listed.groupBy("key").agg(F.collect_list("at").alias("at")), "opened-samples")
-    full = written(classes.filter(F.col("n") > 1).select("longer"), "full-names")
-    whole = _joined(longer.select("key", "at", "longer"), full, "longer", broadcast_limit)
-    whole = whole.groupBy("key").agg(F.collect_list("at").alias("whole"))
-
-    # 3. The strings around the samples that are left.
-    def strings(batch: pa.RecordBatch) -> Iterator[dict]:
-        for data, keys, listed in _by_slices(batch, ("at",)):
-            of, at, _, _ = _around(data, listed, far, length - near)
-            begin = (at[:, None] - np.arange(near, far + 1)).ravel()
-            of = np.repeat(of, far - near + 1)
-            inside = begin - data.starts[of]
-            fits = (inside >= 0) & (inside + length <= data.sizes[of])
-            begin = np.unique(begin[fits])
-            of = np.searchsorted(data.starts, begin, "right") - 1
-            digests = np.column_stack([data.digests(begin, begin + length, k) for k in (0, 1)])
-            yield {"key": keys.take(pa.array(of)), "begin": pa.array(begin - data.starts[of]), "digest": _binary(digests)}
-
-    suffixes = written(both(strings, plain | {"at": "at"}, "key binary, begin int, digest binary", opened), "remaining-suffixes")
-    equal = suffixes.groupBy("digest").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("digest")
-    found = _joined(suffixes, written(equal, "equal-suffixes"), "digest", broadcast_limit)
-    begins = found.groupBy("key").agg(F.collect_list("begin").alias("begins"))
-
-    marks = whole.join(begins, "key", "full")
+    first = written(both(_namer(length, far, near, 0, 1), plain | {"at": "at"}, _BLOCKS, by_text), "blocks")
+    discard(samples, by_text)
+    done, opened = _settle(first, broadcast_limit)
+    doubled = [done.select("key", "begin", F.lit(window).alias("width"))]
+
+    # 3. Blocks in parts.
+    width = window
+    while width > 1:
+        part = max(1, width // PARTS)
+        listed = written(opened.groupBy("key").agg(F.collect_list("begin").alias("at")), "opened-blocks")
+        discard(opened)
+        blocks = written(
+            both(_namer(length, 0, 1 - part, width // part, part), plain | {"at": "at"}, _BLOCKS, listed), "blocks"
+        )
+        discard(listed)
+        done, opened = _settle(blocks, broadcast_limit)
+        doubled.append(done.select("key", "begin", F.lit(part).alias("width")))
+        width = part
+    discard(opened)
+
+    every = reduce(DataFrame.unionByName, doubled)
+    marks = every.groupBy("key").agg(F.collect_list("begin").alias("at"), F.collect_list("width").alias("width"))
     sizes = written(ids.select("key", "size").dropDuplicates(["key"]), "text-sizes")
     marks = marks.join(sizes, "key").join(_small(copies.select("key"), broadcast_limit), "key", "left_anti")
 
     def merge(batch: pa.RecordBatch) -> Iterator[dict]:
         ends_by_row, begins_by_row = [], []
-        for size, at, more in zip(*(batch.column(c).to_pylist() for c in ("size", "whole", "begins")), strict=True):
-            at, more = np.array(at or [], np.int64), np.array(more or [], np.int64)
-            # The first and the last byte of the strings around a sample.
-            begin = np.concatenate([np.maximum(at - far, 0), more])
-            end = np.concatenate([np.minimum(at + length - near, size), more + length])
+        for size, at, widths in zip(*(batch.column(c).to_pylist() for c in ("size", "at", "width")), strict=True):
+            at, widths = np.array(at, np.int64), np.array(widths, np.int64)
+            # The first and the last byte of the strings of each block.
+            begin, end = np.maximum(at, 0), np.minimum(at + widths - 1 + length, size)
             order = np.argsort(begin, kind="stable")
             begin, end = begin[order], np.maximum.accumulate(end[order])
             first = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]]))
@@ -220,19 +196,66 @@ def repeated_ranges(
             ends_by_row.append(end[np.append(first[1:], len(end)) - 1])
         yield {"key": batch.column("key"), "begins": begins_by_row, "ends": ends_by_row}
 
-    columns = {c: c for c in ("key", "size", "whole", "begins")}
+    columns = {c: c for c in ("key", "size", "at", "width")}
     merged = per_batch(marks, columns, "key binary, begins array<int>, ends array<int>", merge)
     copied = copies.select("key", F.array(F.lit(0)).alias("begins"), F.array("size").alias("ends"))
     return written(merged.unionByName(copied), "repeated-ranges")
 
 
-def _around(data: _Bytes, listed: pa.Array, before: int, after: int) -> tuple[np.ndarray, ...]:
-    """Of samples listed per text: text, position, and how far their strings reach inside the text."""
-    counts = np.array([len(x) for x in listed], np.int64)
-    of = np.repeat(np.arange(len(counts)), counts)
-    at = np.array([p for x in listed.to_pylist() for p in x], np.int64) + data.starts[of]
-    begin = np.maximum(at - before, data.starts[of])
-    return of, at, begin, np.minimum(at + after, data.starts[of] + data.sizes[of])
+_BLOCKS = "key binary, begin int, name bigint, longer binary"
+
+
+def _namer(length: int, before: int, least: int, parts: int, width: int):
+    """Names of blocks of strings.
+
+    Listed per text are samples (``parts`` 0), whose blocks begin ``before`` bytes earlier and reach to ``least`` bytes
+    before them; or beginnings of blocks, to be cut into ``parts`` blocks of ``width`` strings. A block of which no string
+    lies inside the text is left out; of one that reaches over its ends, the longer name takes what is inside.
+    """
+
+    def name(batch: pa.RecordBatch) -> Iterator[dict]:
+        for data, keys, listed in _by_slices(batch, ("at",)):
+            counts = np.array([len(x) for x in listed], np.int64)
+            of = np.repeat(np.arange(len(counts)), counts)
+            begin = np.array([p for x in listed.to_pylist() for p in x], np.int64) - before
+            wide = before - least + 1 if not parts else width
+            if parts:
+                begin = (begin[:, None] + width * np.arange(parts)).ravel()
+                of = np.repeat(of, parts)
+            fits = (begin + wide - 1 >= 0) & (begin + length <= data.sizes[of])
+            begin, of = begin[fits], of[fits]
+            if parts:  # a part may belong to several blocks
+                row = np.unique(np.column_stack([of, begin]), axis=0)
+                of, begin = row[:, 0], row[:, 1]
+            at = begin + data.starts[of]
+            common = data.digests(at + wide - 1, at + length, 0)
+            first = np.maximum(at, data.starts[of])
+            last = np.minimum(at + wide - 1 + length, data.starts[of] + data.sizes[of])
+            yield {
+                "key": keys.take(pa.array(of)),
+                "begin": pa.array(begin),
+                "name": pa.array(common.view(np.int64)),
+                "longer": _binary(np.column_stack([data.digests(first, last, k) for k in (0, 1)])),
+            }
+
+    return name
+
+
+def _settle(blocks: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """``key, begin`` of the blocks whose longer name occurs twice, and of those to be split.
+
+    To be split are blocks with a longer name of their own whose name others share, and, for them to meet, one block of
+    each longer name under such a name.
+    """
+    classes = blocks.groupBy("name", "longer").agg(F.count("*").alias("n"), F.min(F.struct("key", "begin")).alias("first"))
+    classes = written(classes, "name-classes")
+    spread = classes.groupBy("name").agg(F.min("longer").alias("least"), F.max("longer").alias("most"))
+    mixed = written(spread.filter(F.col("least") != F.col("most")).select("name"), "mixed-names")
+    opened = written(_joined(classes, mixed, "name", limit).select("first.*"), "split-blocks")
+    full = written(classes.filter(F.col("n") > 1).select("longer").distinct(), "full-names")
+    done = written(_joined(blocks.select("key", "begin", "longer"), full, "longer", limit).select("key", "begin"), "doubled-blocks")
+    discard(blocks, classes, mixed, full)
+    return done, opened
 
 
 def _binary(numbers: np.ndarray) -> pa.Array:
