@@ -28,12 +28,13 @@ from starledger.operators import (
     unique_values,
     value_report,
 )
-from starledger.plans import exploration, gold, insights, movies_silver, ratings_silver, store_gold
+from starledger.plans import exploration, gold, silver, insights, movies_silver, ratings_silver, store_gold
 from starledger.sources import (
     GOLD_CLEAN_SCHEMA,
     GOLD_RAW_SCHEMA,
     MOVIES_FILE,
     RATINGS_FILE,
+    corrupt_report,
     read_gold,
     read_movies,
     read_ratings,
@@ -55,6 +56,9 @@ SMALLEST_TABLES = "/root/testdata/sf0.001"
 TITLE_PATTERN = "small ring%"
 TITLE = "blue anvil (1954)"
 GENRE, OF_GENRE = "ECONOMY", "PROMO"
+YEAR, LATE_YEAR = 1975, 1990
+# Options under which nothing is broadcast and every film is split.
+ALWAYS_SPLIT = {"broadcast_limit": 0, "rows_per_split": 4}
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
 
@@ -118,9 +122,52 @@ def _csv_ratings(spark: SparkSession, folder: str) -> DataFrame:
     return read_ratings(spark, base)
 
 
-def _stored_gold(spark: SparkSession, folder: str, drop_nulls: bool = True) -> DataFrame:
+def _corrupt_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratings of which some have an id too large for the schema, read with the column for such records."""
+    base = shared_folder(spark, "csv")
+    shifted = _lines(spark, folder).select(
+        (F.col("l_orderkey") + 2147480000).alias("userId"), F.col("l_partkey").alias("movieId"), F.lit(1.5).alias("rating"), F.lit(7).alias("timestamp")
+    )
+    write_csv(shifted, f"{base}/{RATINGS_FILE}")
+    return read_ratings(spark, base, corrupt_column="bad_record")
+
+
+def _split_gold(spark: SparkSession, folder: str, drop_nulls: bool = True) -> DataFrame:
+    """The plan for more films than can be broadcast, with every film's ratings in several splits."""
+    return gold(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), drop_nulls, **ALWAYS_SPLIT)
+
+
+def _gold_overwritten(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored table replaced by a smaller one, without the films of early years."""
     path = shared_folder(spark, "gold")
-    store_gold(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), path, drop_nulls)
+    films, rated = stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder)
+    store_gold(films, rated, path)
+    store_gold(films.filter(silver.release_year(F.col("title")) >= LATE_YEAR), rated, path)
+    return read_gold(spark, path)
+
+
+def _default_escape(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles with quote marks and a comma, read without the option that a file with doubled quotes needs."""
+    base = shared_folder(spark, "csv")
+    write_csv(stand_ins.quoted_movies(spark, folder), f"{base}/{MOVIES_FILE}")
+    return read_movies(spark, base, doubled_quotes=False)
+
+
+def _insights_of_stored_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Genres and years from one stored pass over the ratings."""
+    path = shared_folder(spark, "film-totals")
+    insights.store_film_totals(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), path)
+    films = insights.read_film_totals(spark, path)
+    genres = insights.genre_avg_rating(insights.genre_totals_of_films(films))
+    years = insights.avg_rating_by_year(insights.year_totals_of_films(films))
+    return genres.select(F.lit("genre").alias("kind"), F.col("genre").alias("name"), "avg_rating").unionByName(
+        years.select(F.lit("year").alias("kind"), F.col("year").cast("string").alias("name"), "avg_rating")
+    )
+
+
+def _stored_gold(spark: SparkSession, folder: str, drop_nulls: bool = True, **options: int) -> DataFrame:
+    path = shared_folder(spark, "gold")
+    store_gold(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), path, drop_nulls, **options)
     return read_gold(spark, path, GOLD_CLEAN_SCHEMA if drop_nulls else GOLD_RAW_SCHEMA)
 
 
@@ -148,7 +195,13 @@ def _own_queries() -> dict[str, Query]:
         "csv_scan_movies": lambda s, d: _csv_movies(s, d, stand_ins.movies),
         "csv_scan_quoted_movies": lambda s, d: _csv_movies(s, d, stand_ins.quoted_movies),
         "csv_scan_ratings": _csv_ratings,
+        "csv_scan_default_escape": _default_escape,
+        "csv_scan_leak_quarantine": lambda s, d: only_matching(movies_silver(_default_escape(s, d)), "genre"),
+        "csv_scan_corrupt_report": lambda s, d: corrupt_report(_corrupt_ratings(s, d), "bad_record"),
         "gold_roundtrip": _stored_gold,
+        "gold_split_roundtrip": lambda s, d: _stored_gold(s, d, **ALWAYS_SPLIT),
+        "gold_year_slice": lambda s, d: _stored_gold(s, d).filter(F.col("year") == YEAR),
+        "gold_overwritten": _gold_overwritten,
         "gold_raw_roundtrip": lambda s, d: _plain_time(_stored_gold(s, d, drop_nulls=False)),
         # SQL exploration
         "sql_first_movies": _over_views(exploration.first_movies),
@@ -159,12 +212,16 @@ def _own_queries() -> dict[str, Query]:
         "total_ratings": lambda s, d: stand_ins.ratings(s, d).agg(F.count("*").alias("total_ratings")),
         "sql_top_rated_movies": _over_views(exploration.most_rated),
         "sql_title_ratings": _over_views(lambda s: exploration.ratings_of_title(s, TITLE)),
+        "sql_title_ratings_shuffled": _over_views(lambda s: exploration.ratings_of_title(s, TITLE, **ALWAYS_SPLIT)),
         # silver tables
         "movies_silver": _movies_silver,
         "ratings_silver": lambda s, d: _plain_time(_ratings_silver(s, d)),
         # duplicates
         "duplicate_report": lambda s, d: duplicate_report(_lines(s, d), LINE_KEYS, "lineitem"),
         "dedup_keys": lambda s, d: remove_duplicates(_lines(s, d), LINE_KEYS).select(LINE_KEYS),
+        "dedup_payload": lambda s, d: remove_duplicates(
+            _lines(s, d).select(*LINE_KEYS, (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("payload")), LINE_KEYS
+        ),
         "dedup_first": lambda s, d: keep_first(
             _lines(s, d).select(*LINE_KEYS, *LINE_ORDER), LINE_KEYS, LINE_ORDER
         ).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz")),
@@ -192,6 +249,8 @@ def _own_queries() -> dict[str, Query]:
         "null_drop_report_ratings": lambda s, d: null_drop_report(_ratings_silver(s, d), "ratings"),
         # gold
         "gold_clean": _gold,
+        "gold_clean_split": _split_gold,
+        "gold_raw_split": lambda s, d: _plain_time(_split_gold(s, d, drop_nulls=False)),
         "gold_preview": lambda s, d: exploration.first_rows(_gold(s, d), 5, *GOLD_CLEAN_SCHEMA.fieldNames()),
         "gold_raw": lambda s, d: _plain_time(_gold(s, d, drop_nulls=False)),
         # insights
@@ -203,6 +262,7 @@ def _own_queries() -> dict[str, Query]:
         "genre_bayesian_avg": _genre_bayesian_avg,
         "ratings_long": lambda s, d: insights.ratings_long(_gold(s, d)),
         "rating_histogram": lambda s, d: insights.rating_histogram_of_films(_film_totals(s, d, by_rating=True)),
+        "insights_of_stored_totals": _insights_of_stored_totals,
         "avg_rating_by_year": lambda s, d: insights.avg_rating_by_year(_year_totals(s, d)),
         "avg_rating_by_year_raw": lambda s, d: insights.avg_rating_by_year(_year_totals(s, d, drop_nulls=False)),
         "avg_rating_by_year_of_gold": lambda s, d: insights.avg_rating_by_year(insights.year_totals(_gold(s, d))),
@@ -246,7 +306,8 @@ _TABLES = f"""{_MOVIES}, ratings AS (
            cast(round(l_discount * 100) / 2 as float) AS rating, cast(epoch(l_shipdate) as int) AS "timestamp"
     FROM lineitem
 ), rs AS (
-    SELECT "userId", "movieId", CASE WHEN rating <= 0 THEN NULL ELSE rating END AS rating, "timestamp",
+    SELECT "userId", "movieId", CASE WHEN rating <= 0 THEN NULL ELSE rating END AS rating,
+           cast("timestamp" as bigint) AS "timestamp",
            make_timestamp("timestamp"::bigint * 1000000) AS rating_timestamp
     FROM ratings
 ), rc AS (
@@ -296,6 +357,9 @@ def _removal_report(hit: str) -> str:
         count(*) FILTER (NOT ({hit})) AS kept_rows, count(*) FILTER (genre IS NULL) AS null_rows FROM ms"""
 
 
+# What is left of a title with quote marks and a comma when it breaks apart, and what becomes of the genres.
+_BROKEN_TITLES = f"""SELECT cast(p_partkey as int) AS "movieId", concat('\"\"\"', split_part(p_name, ' ', 1), '\"\"') AS title,
+    concat(' ', split_part(p_name, ' ', 2), ' (', {_YEAR_TEXT}, ')\"') AS genres FROM part"""
 _LEAKED = "regexp_matches(genre, '.*\\(\\d{4}\\).*\"')"
 _SAME_VALUE = "genre = ' Friend\"\" (2014)\"'"
 _SILVER_MOVIE_COLUMNS = ["movieId", "title", "year", "genre"]
@@ -313,6 +377,15 @@ def _own_sql() -> dict[str, str]:
         "csv_scan_quoted_movies": f"""SELECT cast(p_partkey as int) AS "movieId",
             concat('"', replace(p_name, ' ', '", '), ' (', {_YEAR_TEXT}, ')') AS title, {_GENRES} AS genres FROM part""",
         "csv_scan_ratings": f"{_TABLES} SELECT * FROM ratings",
+        "csv_scan_default_escape": _BROKEN_TITLES,
+        "csv_scan_leak_quarantine": f"""WITH broken AS ({_BROKEN_TITLES})
+            SELECT "movieId", title, cast(NULL as int) AS year, genres AS genre FROM broken
+            WHERE regexp_matches(genres, '.*\\(\\d{{4}}\\).*"')""",
+        "csv_scan_corrupt_report": """SELECT count(*) AS total_records,
+            count(*) FILTER (l_orderkey + 2147480000 > 2147483647) AS corrupt_records FROM lineitem""",
+        "gold_split_roundtrip": f"{_TABLES} SELECT * FROM gold",
+        "gold_year_slice": f"{_TABLES} SELECT * FROM gold WHERE year = {YEAR}",
+        "gold_overwritten": f"{_TABLES} SELECT * FROM gold WHERE year >= {LATE_YEAR}",
         "gold_roundtrip": f"{_TABLES} SELECT * FROM gold",
         "gold_raw_roundtrip": f"{_TABLES} SELECT * FROM gold_raw",
         "sql_first_movies": f'{_MOVIES} SELECT title, genres FROM movies ORDER BY "movieId", title, genres LIMIT 10',
@@ -325,12 +398,16 @@ def _own_sql() -> dict[str, str]:
             GROUP BY "movieId" ORDER BY num_ratings DESC, "movieId" LIMIT 5""",
         "sql_title_ratings": f"""{_TABLES} SELECT m.title, r."userId", r.rating
             FROM movies m JOIN ratings r ON m."movieId" = r."movieId" WHERE m.title = '{TITLE}'""",
+        "sql_title_ratings_shuffled": f"""{_TABLES} SELECT m.title, r."userId", r.rating
+            FROM movies m JOIN ratings r ON m."movieId" = r."movieId" WHERE m.title = '{TITLE}'""",
         "movies_silver": f"{_MOVIES} SELECT * FROM ms",
         "ratings_silver": f"{_TABLES} SELECT * FROM rs",
         "duplicate_report": """SELECT 'lineitem' AS table_name, a.n AS total_rows, b.n AS unique_rows,
             a.n - b.n AS duplicate_rows FROM (SELECT count(*) AS n FROM lineitem) a,
             (SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) b""",
         "dedup_keys": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+        "dedup_payload": """SELECT DISTINCT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS payload
+            FROM lineitem""",
         "dedup_first": """SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice
             FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
             ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice) = 1""",
@@ -352,6 +429,8 @@ def _own_sql() -> dict[str, str]:
         "null_drop_report": _null_drop(_MOVIES, "ms", "mc", "movies"),
         "null_drop_report_ratings": _null_drop(_TABLES, "rs", "rc", "ratings"),
         "gold_clean": f"{_TABLES} SELECT * FROM gold",
+        "gold_clean_split": f"{_TABLES} SELECT * FROM gold",
+        "gold_raw_split": f"{_TABLES} SELECT * FROM gold_raw",
         "gold_preview": f'{_TABLES} SELECT * FROM gold ORDER BY {", ".join(_GOLD_COLUMNS)} LIMIT 5',
         "gold_raw": f"{_TABLES} SELECT * FROM gold_raw",
         "genre_popularity": f"{_TABLES} {_POPULARITY.format(gold='gold')}",
@@ -366,6 +445,9 @@ def _own_sql() -> dict[str, str]:
             ), c AS (SELECT avg(rating) AS "C" FROM gold)
             SELECT genre, v, "R", "C", (v / (v + 1000)) * "R" + (1000 / (v + 1000)) * "C" AS adjusted_rating
             FROM g, c ORDER BY adjusted_rating DESC, genre""",
+        "insights_of_stored_totals": f"""{_TABLES} SELECT 'genre' AS kind, genre AS name, avg(rating) AS avg_rating
+            FROM gold GROUP BY genre UNION ALL SELECT 'year', cast(year as varchar), avg(rating)
+            FROM gold WHERE year IS NOT NULL GROUP BY year""",
         "ratings_long": f"{_TABLES} SELECT genre, rating FROM gold",
         "rating_histogram": f"{_TABLES} SELECT genre, rating, count(*) AS num_rows FROM gold GROUP BY genre, rating",
         "avg_rating_by_year": f"{_TABLES} {_BY_YEAR.format(gold='gold')}",

@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -41,7 +40,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": str(4 * int(cpus)),
             "spark.ui.enabled": "false",
             "spark.driver.memory": "12g",
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
+            "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR", "spark-warehouse/_bench"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: a bracketed year with a quote mark somewhere after it, the trace of a title that broke apart.
+# A bracketed year with a quote mark somewhere after it, the trace of a title that broke apart. Equivalent to the fixed
+# pattern with '.*' before the bracket, without that lead-in: a search starts anywhere as it is.
 LEAKED_TITLE = r'\(\d{4}\).*"'
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.operators.joins import BROADCAST_LIMIT, measured_bytes
+from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured_bytes, split_join
 from starledger.sources.views import MOVIES_VIEW, RATINGS_VIEW
 
 
@@ -56,17 +56,21 @@ def most_rated(spark: SparkSession, n: int = 5) -> DataFrame:
     )
 
 
-def ratings_of_title(spark: SparkSession, title: str, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+def ratings_of_title(
+    spark: SparkSession, title: str, broadcast_limit: int = BROADCAST_LIMIT, rows_per_split: int = ROWS_PER_SPLIT
+) -> DataFrame:
     """The ratings of every film of that title.
 
     The matching films are measured first. Few, as is usual, are broadcast and the ratings stay where they are; beyond
-    the limit Spark shuffles both sides and AQE splits a film with very many ratings.
+    the limit both sides are shuffled, a film with very many ratings in splits.
     """
-    matches = spark.table(MOVIES_VIEW).filter(F.col("title") == title)
-    hint = "/*+ BROADCAST(m) */" if measured_bytes(matches) <= broadcast_limit else ""
+    matches = spark.table(MOVIES_VIEW).filter(F.col("title") == title).select("movieId", "title")
+    if measured_bytes(matches) > broadcast_limit:
+        rated = spark.table(RATINGS_VIEW).select("movieId", "userId", "rating")
+        return split_join(rated, matches, "movieId", rows_per_split).select("title", "userId", "rating")
     return spark.sql(
         f"""
-        SELECT {hint} m.title, r.userId, r.rating
+        SELECT /*+ BROADCAST(m) */ m.title, r.userId, r.rating
         FROM {MOVIES_VIEW} m JOIN {RATINGS_VIEW} r ON m.movieId = r.movieId
         WHERE m.title = :title
         """,

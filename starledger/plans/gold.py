@@ -64,10 +64,10 @@ def _gathered_by_year(rating_rows: DataFrame, film_rows: DataFrame) -> DataFrame
 
 
 def store_gold(
-    movies: DataFrame, ratings: DataFrame, path: str, drop_nulls: bool = True, file_format: str = "parquet"
+    movies: DataFrame, ratings: DataFrame, path: str, drop_nulls: bool = True, file_format: str = "parquet", **options: int
 ) -> None:
-    """Build the gold table and write it, one folder per year."""
-    write_gold(gold(movies, ratings, drop_nulls, gather_years=True), path, file_format, gathered=True)
+    """Build the gold table and write it, one folder per year; options are those of ``gold``."""
+    write_gold(gold(movies, ratings, drop_nulls, gather_years=True, **options), path, file_format, gathered=True)
 
 
 def _film_sizes(movies: DataFrame) -> DataFrame:

@@ -13,10 +13,11 @@ ratings.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.functions import percent, ratio
+from starledger.operators.joins import ROWS_PER_SPLIT, split_join
 from starledger.plans import silver
 
 # Fixed value: the number of ratings from which a genre's own mean outweighs the mean of all.
@@ -50,15 +51,33 @@ def year_totals(gold: DataFrame) -> DataFrame:
     return _totals(gold.filter(F.col("year").isNotNull()), "year")
 
 
-def film_totals(movies: DataFrame, ratings: DataFrame, drop_nulls: bool = True, by_rating: bool = False) -> DataFrame:
+def film_totals(
+    movies: DataFrame,
+    ratings: DataFrame,
+    drop_nulls: bool = True,
+    by_rating: bool = False,
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> DataFrame:
     """Rating totals per film (and rating value, if ``by_rating``) with the film's title, year and genres.
 
-    Both sides of the join hold one row per film and are shuffled by its id, so the join needs no further shuffle.
+    Both sides of the join hold one row per film and are shuffled by its id, so the join needs no further shuffle. With
+    ``by_rating`` a film has a row per rating value, of which a fine scale gives very many: the totals are shuffled once
+    more, by film, and a film with many values is split.
     """
     rating_rows = silver.complete_ratings(ratings) if drop_nulls else silver.ratings_silver(ratings)
     film_rows = silver.complete_films(movies) if drop_nulls else silver.films(movies)
-    keys = ["movieId", "rating"] if by_rating else ["movieId"]
-    return _totals(rating_rows, *keys).join(film_rows, "movieId", "inner")
+    if by_rating:
+        return split_join(_totals(rating_rows, "movieId", "rating"), film_rows, "movieId", rows_per_split)
+    return _totals(rating_rows, "movieId").join(film_rows, "movieId", "inner")
+
+
+def store_film_totals(movies: DataFrame, ratings: DataFrame, path: str, drop_nulls: bool = True) -> None:
+    """Write the totals of all films, in place of what is there: one pass over the ratings for every insight."""
+    film_totals(movies, ratings, drop_nulls).write.mode("overwrite").parquet(path)
+
+
+def read_film_totals(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def genre_totals_of_films(films: DataFrame) -> DataFrame:

@@ -44,12 +44,12 @@ def movies_silver(movies: DataFrame) -> DataFrame:
 
 
 def ratings_silver(ratings: DataFrame) -> DataFrame:
-    """``userId, movieId, rating, timestamp, rating_timestamp``, invalid ratings as NULL."""
+    """``userId, movieId, rating, timestamp, rating_timestamp``, invalid ratings as NULL and the epoch as a long."""
     return ratings.select(
         "userId",
         "movieId",
         valid_rating(F.col("rating")).alias("rating"),
-        "timestamp",
+        F.col("timestamp").cast("bigint").alias("timestamp"),
         epoch_to_timestamp(F.col("timestamp")).alias("rating_timestamp"),
     )
 

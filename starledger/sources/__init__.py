@@ -1,7 +1,7 @@
 """Typed sources, the partitioned gold table, and SQL views."""
 
 from starledger.sources import stand_ins
-from starledger.sources.csv import MOVIES_FILE, RATINGS_FILE, read_csv, read_movies, read_ratings, write_csv
+from starledger.sources.csv import MOVIES_FILE, RATINGS_FILE, corrupt_report, read_csv, read_movies, read_ratings, write_csv
 from starledger.sources.gold_table import read_gold, write_gold
 from starledger.sources.schemas import GOLD_CLEAN_SCHEMA, GOLD_RAW_SCHEMA, MOVIES_SCHEMA, RATINGS_SCHEMA
 from starledger.sources.views import MOVIES_VIEW, RATINGS_VIEW, register_views
@@ -19,6 +19,7 @@ __all__ = [
     "read_gold",
     "read_movies",
     "read_ratings",
+    "corrupt_report",
     "register_views",
     "stand_ins",
     "write_csv",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from starledger.sources.schemas import GOLD_CLEAN_SCHEMA
+from starledger.sources.schemas import GOLD_CLEAN_SCHEMA, GOLD_RAW_SCHEMA
 
 PARTITION_COLUMN = "year"
 
@@ -18,8 +18,11 @@ def gather(df: DataFrame, partition_by: str = PARTITION_COLUMN) -> DataFrame:
     """Bring the rows of a year together for the write.
 
     The hint keeps the number of files near the number of years, and lets AQE deal a year that is much larger than the
-    rest over several tasks and files, by its measured size.
+    rest over several tasks and files, by its measured size. Without AQE a year would be one task, however large, so it
+    must be on.
     """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("set spark.sql.adaptive.enabled: a large year is split by it")
     return df.hint("rebalance", partition_by)
 
 
@@ -39,17 +42,28 @@ def write_gold(
         rows.write.format(file_format)
         .mode("overwrite")
         .option("overwriteSchema", "true")
+        .option("partitionOverwriteMode", "static")  # whatever the session says: years that are gone must go
         .partitionBy(partition_by)
         .save(path)
     )
 
 
 def read_gold(
-    spark: SparkSession, path: str, schema: StructType = GOLD_CLEAN_SCHEMA, file_format: str = "parquet"
+    spark: SparkSession, path: str, schema: StructType | None = None, file_format: str = "parquet"
 ) -> DataFrame:
-    """Read the table back in its column order; a filter on year reads only the folders it needs."""
+    """Read the table back in its column order; a filter on year reads only the folders it needs.
+
+    Columns and types are those stored. ``schema`` names the columns to return and fails if one is missing; without it the
+    table is taken for a clean or a raw one by the time column it has. Only the type of the partition column is stated,
+    so that it is an int whatever its values look like.
+    """
     reader = spark.read.format(file_format)
+    stored = reader.load(path).schema
+    if schema is None:
+        schema = GOLD_CLEAN_SCHEMA if "timestamp" in stored.fieldNames() else GOLD_RAW_SCHEMA
+    if missing := [c for c in schema.fieldNames() if c not in stored.fieldNames()]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
     if file_format != "delta":
-        # A stated schema keeps the partition column an int whatever its values look like; Delta stores its own.
-        reader = reader.schema(schema)
+        typed = [schema[f.name] if f.name == PARTITION_COLUMN else f for f in stored.fields]
+        reader = reader.schema(StructType(typed))
     return reader.load(path).select(schema.fieldNames())

@@ -32,7 +32,7 @@ GOLD_CLEAN_SCHEMA = _schema(
         "movieId": "integer",
         "userId": "integer",
         "rating": "float",
-        "timestamp": "integer",
+        "timestamp": "long",
         "title": "string",
         "year": "integer",
         "genre": "string",

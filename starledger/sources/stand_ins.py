@@ -14,15 +14,24 @@ from starledger.functions import NO_GENRES
 LEAKED_GENRE = ' Friend"" (2014)"'
 
 
+# Ids lie below this number.
+MOST_ID = 2**31 - 1
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _id(key: str) -> Column:
+    """A key as a 32-bit id, as the source tables have them; larger ones start anew instead of failing."""
+    return F.pmod(F.col(key), F.lit(MOST_ID)).cast("int")
+
+
 def ratings_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """One rating per order line: 0.0 to 5.0 in halves, 0.0 being invalid."""
     return lineitem.select(
-        F.col("l_orderkey").cast("int").alias("userId"),
-        F.col("l_partkey").cast("int").alias("movieId"),
+        _id("l_orderkey").alias("userId"),
+        _id("l_partkey").alias("movieId"),
         (F.floor(F.col("l_discount") * 100 + 0.5) / 2).cast("float").alias("rating"),
         F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).cast("int").alias("timestamp"),
     )
@@ -48,14 +57,14 @@ def _genres() -> Column:
 
 def movies_from_part(part: DataFrame) -> DataFrame:
     """One film per part: some without a year, some without a genre, the number of genres varying within a year."""
-    return part.select(F.col("p_partkey").cast("int").alias("movieId"), _title().alias("title"), _genres().alias("genres"))
+    return part.select(_id("p_partkey").alias("movieId"), _title().alias("title"), _genres().alias("genres"))
 
 
 def leaky_movies_from_part(part: DataFrame) -> DataFrame:
     """The same films, but the genre field of some holds what a badly read CSV file leaves there."""
     leaked_title = F.concat(F.lit(" "), F.col("p_name"), F.lit('"" ('), _year_text(), F.lit(')"'))
     return part.select(
-        F.col("p_partkey").cast("int").alias("movieId"),
+        _id("p_partkey").alias("movieId"),
         _title().alias("title"),
         F.when(F.col("p_partkey") % 53 == 0, F.lit(LEAKED_GENRE))
         .when(F.col("p_partkey") % 29 == 0, leaked_title)
@@ -67,7 +76,7 @@ def leaky_movies_from_part(part: DataFrame) -> DataFrame:
 def quoted_movies_from_part(part: DataFrame) -> DataFrame:
     """The same films with quote marks and a comma in every title, the hard case of a CSV file."""
     quoted = F.concat(F.lit('"'), F.replace(F.col("p_name"), F.lit(" "), F.lit('", ')), F.lit(" ("), _year_text(), F.lit(")"))
-    return part.select(F.col("p_partkey").cast("int").alias("movieId"), quoted.alias("title"), _genres().alias("genres"))
+    return part.select(_id("p_partkey").alias("movieId"), quoted.alias("title"), _genres().alias("genres"))
 
 
 def movies(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,8 +11,9 @@ import __spark_entry__ as spark_entry
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
-QUERIES = spark_entry.queries()
-ORACLES = spark_entry.oracle_sql()
+# The operators for training data have tests of their own.
+QUERIES = spark_entry._own_queries()
+ORACLES = spark_entry._own_sql()
 
 
 @pytest.fixture(scope="module")
