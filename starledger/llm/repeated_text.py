@@ -156,7 +156,7 @@ def repeated_ranges(
     samples = written(both(sample, plain, "key binary, at int, name bigint"), "samples")
     again = samples.groupBy("name").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("name")
     left = _joined(samples, written(again, "repeated-names"), "name", broadcast_limit)
-    by_text = written(left.groupBy("key").agg(F.sort_array(F.collect_list("at")).alias("at")), "samples-left")
+    by_text = written(_lists(left, "at"), "samples-left")
 
     first = written(both(_namer(length, far, near, 0, 1), plain | {"at": "at"}, _BLOCKS, by_text), "blocks")
     discard(samples, by_text)
@@ -167,7 +167,7 @@ def repeated_ranges(
     width = window
     while width > 1:
         part = max(1, width // PARTS)
-        listed = written(opened.groupBy("key").agg(F.collect_list("begin").alias("at")), "opened-blocks")
+        listed = written(_lists(opened, "begin"), "opened-blocks")
         discard(opened)
         blocks = written(
             both(_namer(length, 0, 1 - part, width // part, part), plain | {"at": "at"}, _BLOCKS, listed), "blocks"
@@ -202,6 +202,16 @@ def repeated_ranges(
     return written(merged.unionByName(copied), "repeated-ranges")
 
 
+def _lists(rows: DataFrame, column: str) -> DataFrame:
+    """``key, at``: the numbers of each text, four bytes each."""
+
+    def pack(batch: pa.RecordBatch) -> Iterator[dict]:
+        yield {"key": batch.column("key"), "at": [np.array(x, "<i4").tobytes() for x in batch.column("at").to_pylist()]}
+
+    lists = rows.groupBy("key").agg(F.collect_list(column).alias("at"))
+    return per_batch(lists, {"key": "key", "at": "at"}, "key binary, at binary", pack)
+
+
 _BLOCKS = "key binary, begin int, name bigint, longer binary"
 
 
@@ -215,9 +225,9 @@ def _namer(length: int, before: int, least: int, parts: int, width: int):
 
     def name(batch: pa.RecordBatch) -> Iterator[dict]:
         for data, keys, listed in _by_slices(batch, ("at",)):
-            counts = np.array([len(x) for x in listed], np.int64)
-            of = np.repeat(np.arange(len(counts)), counts)
-            begin = np.array([p for x in listed.to_pylist() for p in x], np.int64) - before
+            lists = listed.to_pylist()
+            of = np.repeat(np.arange(len(lists)), [len(x) // 4 for x in lists])
+            begin = np.frombuffer(b"".join(lists), "<i4").astype(np.int64) - before
             wide = before - least + 1 if not parts else width
             if parts:
                 begin = (begin[:, None] + width * np.arange(parts)).ravel()
