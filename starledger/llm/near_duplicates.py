@@ -11,7 +11,7 @@ buckets with: near copies join their component here, at one trial per node and r
 share buckets with most others, as the text that a family of copies was made from does; later ones go by a hash, and
 rounds end once they link few of those who try. After that, the members of a
 bucket outside its largest component meet every member of another component; parity sketches of the sets, which give a
-lower bound of their difference, rule out most of these before they become rows. Whatever two nodes share a bucket then
+lower bound of their difference, rule out most of these, block by block, before they become rows. Whatever two nodes share a bucket then
 either are connected, or have been compared, or can't be linked: no link is lost, and pairs within a component are never
 made.
 """
@@ -38,8 +38,8 @@ MISS = 1e-7
 HUB_ROUNDS, WORTH_ANOTHER = 4, 0.05
 # A pair whose signatures agree in fewer places than this many standard deviations below the threshold isn't compared.
 DEVIATIONS = 6
-# Bits of the sketches that rule pairs out.
-SKETCH_BITS = 2048
+# Bits of the sketches that rule pairs out, and members of a bucket that are compared at a time.
+SKETCH_BITS, BLOCK = 2048, 1000
 SEED = 20_240_607
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -221,6 +221,61 @@ def _sketcher(words: int):
     return sketch
 
 
+def _possible(pct: int):
+    """Pairs of a group, one of the few and one of all, in different components, that their sketches don't rule out.
+
+    Shingles that only one of two sets has are at least as many as bits in which the sketches differ, and at most a share
+    of (100 - pct) / (100 + pct) of both sets' sizes if the two are to be linked. So no link is ruled out.
+    """
+
+    def number(column: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64).reshape(-1, 2)
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = rows.combine_chunks()
+        keys = np.column_stack([rows.column(c).to_numpy() for c in ("bucket", "one", "other")])
+        bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        few, in_main = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("few", "in_main"))
+        node, component = number(rows.column("node")), number(rows.column("component"))
+        n = rows.column("n").to_numpy()
+        sketch = np.array(rows.column("sketch").combine_chunks().flatten()).view(np.uint64).reshape(len(n), -1)
+        found: list[np.ndarray] = []
+        for first, last in zip(bounds, bounds[1:], strict=False):
+            own = first + np.flatnonzero(few[first:last])
+            other = first + np.flatnonzero(~few[first:last])
+            for at in range(0, len(own), 64):
+                a = own[at : at + 64]
+                apart = np.bitwise_count(sketch[a][:, None, :] ^ sketch[other][None, :, :]).sum(axis=2, dtype=np.int64)
+                possible = (100 + pct) * apart <= (100 - pct) * (n[a][:, None] + n[other][None, :])
+                possible &= (component[a][:, None, :] != component[other][None, :, :]).any(axis=2)
+                # Two members outside the main component meet once.
+                high, low = (node[a][:, None, k] < node[other][None, :, k] for k in (0, 1))
+                before = high | ((node[a][:, None, 0] == node[other][None, :, 0]) & low)
+                i, j = np.nonzero(possible & (in_main[other][None, :] | before))
+                found.append(np.column_stack([a[i], other[j]]))
+        met = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        names = rows.column("node").combine_chunks()
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(met[:, k])) for k in (0, 1)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            keys = np.column_stack([batch.column(c).to_numpy() for c in ("bucket", "one", "other")])
+            ends = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            if held and len(keys) and tuple(keys[0]) != tuple(held[-1].column(c)[-1].as_py() for c in ("bucket", "one", "other")):
+                yield from pairs(pa.Table.from_batches(held))
+                held = []
+            if len(ends):  # the groups that end in this batch
+                yield from pairs(pa.Table.from_batches([*held, batch.slice(0, int(ends[-1]))]))
+                held, batch = [], batch.slice(int(ends[-1]))
+            if len(batch):
+                held.append(batch)
+        if held:
+            yield from pairs(pa.Table.from_batches(held))
+
+    return run
+
+
 class _Linker:
     """Candidates, trials and verified links over the nodes that share a bucket with another."""
 
@@ -288,25 +343,22 @@ class _Linker:
             self.texts.join(unlinked, "node"), columns, "node binary, n bigint, sketch array<bigint>", _sketcher(self.words)
         )
         members = _joined(members, written(sketched, "sketches"), "node", size)
-        sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main")).select("bucket", F.col("main.component").alias("main"))
-        marked = written(_joined(members, main, "bucket", size), "marked-buckets")
-        few = marked.filter(F.col("component") != F.col("main")).select(
-            "bucket", F.col("node").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")
-        )
-        every = marked.select(
-            "bucket", F.col("node").alias("b"), F.col("component").alias("of_b"), "main", F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b")
+        counts = members.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+        main = counts.groupBy("bucket").agg(
+            F.max(F.struct("size", "component")).alias("main"), F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks")
         )
-        # Two members outside the main component meet once; a member of the main component meets each of the others.
-        once = (F.col("of_b") == F.col("main")) | (F.col("a") < F.col("b"))
-        # Shingles that only one of the two has: at least as many as bits in which the sketches differ, and at most this
-        # share of all if the two are to be linked. So what the sketches rule out can't be a link.
-        apart = sum(
-            (F.bit_count(F.col("sketch_a")[i].bitwiseXOR(F.col("sketch_b")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0)
-        )
-        possible = (100 + self.pct) * apart <= (100 - self.pct) * (F.col("n_a") + F.col("n_b"))
-        met = _joined(every, few, "bucket", size).filter((F.col("of_a") != F.col("of_b")) & once & possible)
-        self._try(met.select("a", "b"))
+        main = main.select("bucket", F.col("main.component").alias("main"), "blocks")
+        marked = written(_joined(members, main, "bucket", size), "marked-buckets")
+        # A large bucket is cut into blocks by a hash of its members, and each block of those outside the main component
+        # meets each block of all members in a group of its own.
+        block, all_blocks = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+        outside = marked.filter(F.col("component") != F.col("main"))
+        few = outside.withColumns({"one": block, "few": F.lit(True)}).withColumn("other", F.explode(all_blocks))
+        every = marked.withColumns({"other": block, "few": F.lit(False)}).withColumn("one", F.explode(all_blocks))
+        columns = ["bucket", "one", "other", "few", "node", "component", (F.col("component") == F.col("main")).alias("in_main"), "n", "sketch"]
+        groups = few.select(columns).unionByName(every.select(columns))
+        groups = groups.repartition("bucket", "one", "other").sortWithinPartitions("bucket", "one", "other")
+        self._try(groups.mapInArrow(_possible(self.pct), "a binary, b binary"))
 
     def _try(self, pairs: DataFrame) -> tuple[int, int]:
         """Verify pairs that haven't been tried, signatures first, then the full sets. How many were, and are linked."""
