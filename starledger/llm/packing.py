@@ -148,5 +148,5 @@ def pack(docs: DataFrame, folder: str | None = None, **options) -> DataFrame:
     folder = folder or shared_folder(spark, "packed")
     found = pieces(docs, **options)
     bucketed = found.withColumn("bucket", F.col("length"))
-    bucketed.write.partitionBy("bucket").option("compression", "zstd").parquet(folder)
+    bucketed.write.partitionBy("bucket").parquet(folder)
     return spark.read.schema(bucketed.schema).parquet(folder).select(found.columns)
