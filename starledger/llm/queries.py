@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starledger.llm import decontamination, language_id, near_duplicates, packing, quality_classifier, quality_rules
+from starledger.llm import decontamination, language_id, near_duplicates, oracles, packing, quality_classifier, quality_rules
 from starledger.llm import repeated_text, sharding, token_counts, warc
 from starledger.llm.common import held_out, ship, table
 from starledger.session import shared_folder
@@ -100,4 +100,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_warc_shards": oracles.WARC,
+        "op5_benchmark_decontamination": oracles.DECONTAMINATION,
+        "op7_repeated_text": oracles.REPEATED_TEXT,
+        "op10_minhash_near_duplicates": oracles.NEAR_DUPLICATES,
+    }

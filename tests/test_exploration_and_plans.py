@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from starledger import shared_folder
-from starledger.operators import keep_first, unique_values
+from starledger.operators import keep_first, unique_value_counts, unique_values
 from starledger.plans import exploration, gold, insights, movies_silver, store_gold
 from starledger.plans.silver import complete_ratings
 from starledger.sources import (
@@ -127,18 +127,35 @@ def test_first_of_key_is_limited_before_the_shuffle(spark, parquet):
     assert text.split("\n\n")[0].count("WindowGroupLimit") == 2
 
 
-def test_profile_reads_one_column_per_branch_and_takes_the_first_in_parts(spark, parquet):
-    text = plan(unique_values(parquet[1], 20))
+@pytest.mark.parametrize("limit", [20, None])
+def test_profile_scans_once_whatever_the_format(spark, parquet, tmp_path, limit):
+    write_csv(stand_ins.ratings(spark, FOLDER), f"{tmp_path}/ratings.csv")
+    for ratings in (parquet[1], read_ratings(spark, str(tmp_path))):
+        for df in (unique_values(ratings, limit), unique_value_counts(ratings)):
+            text = plan(df)
+            assert len(re.findall(r"ReadSchema: struct<(.*)>", text)) == 1
+            assert "Expand" in text
+    if limit:
+        assert plan(unique_values(parquet[1], limit)).split("\n\n")[0].count("WindowGroupLimit") == 2
+
+
+def test_profile_per_column_reads_one_column_per_branch(spark, parquet):
+    text = plan(unique_values(parquet[1], 20, per_column=True))
     schemas = re.findall(r"ReadSchema: struct<(.*)>", text)
     assert sorted(schemas) == ["movieId:int", "rating:float", "timestamp:int", "userId:int"]
     assert text.split("\n\n")[0].count("TakeOrderedAndProject") == 4
+    for limit in (3, None):
+        one, each = (unique_values(parquet[1], limit, per_column=p).collect() for p in (False, True))
+        assert sorted(map(tuple, one), key=str) == sorted(map(tuple, each), key=str)
 
 
-def test_profile_of_films_shuffles_them_once(spark, parquet):
-    df = unique_values(movies_silver(parquet[0]), 20)
-    df.collect()
-    tree = plan(df).split("== Initial Plan ==")[0]
-    assert tree.count("Scan parquet") == 1 and "ReusedExchange" in tree
+def test_stored_totals_serve_every_insight_from_one_scan_of_ratings(spark, parquet, tmp_path):
+    path = str(tmp_path / "totals")
+    insights.store_film_totals(*parquet, path)
+    films = insights.read_film_totals(spark, path)
+    for df in (insights.genre_totals_of_films(films), insights.year_totals_of_films(films)):
+        text = plan(df)
+        assert "userId" not in text and text.count("Location:") == 1
 
 
 def test_year_filter_reads_only_its_folder(spark, parquet, tmp_path):
@@ -150,7 +167,7 @@ def test_year_filter_reads_only_its_folder(spark, parquet, tmp_path):
 
 
 def test_no_python_and_no_cross_join_in_any_query(spark):
-    for name, query in spark_entry.queries().items():
+    for name, query in spark_entry._own_queries().items():
         text = plan(query(spark, FOLDER))
         for unwanted in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "LocalTableScan"):
             assert unwanted not in text, name
@@ -165,4 +182,4 @@ def test_entry(spark):
 def test_shared_folder_is_new_and_below_the_named_one(spark):
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert one != two
-    assert one.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert spark.conf.get("spark.checkpoint.dir") in one
