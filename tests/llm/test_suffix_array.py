@@ -1,0 +1,23 @@
+import random
+
+import pytest
+
+from starledger.llm.suffix_array import suffix_ranks, text_symbols
+
+
+@pytest.mark.parametrize(("letters", "n"), [("ab", 40), ("abc", 61), ("a", 12), ("abcdefgh", 29)])
+def test_ranks_equal_sorted_suffixes(shipped, letters, n):
+    rng = random.Random(n)
+    text = [1 + letters.index(rng.choice(letters)) for _ in range(n)]
+    symbols = shipped.createDataFrame(list(enumerate(text)), "pos bigint, sym bigint")
+    got = [p for _, p in sorted((r["rank"], r["pos"]) for r in suffix_ranks(symbols, n).collect())]
+    assert got == sorted(range(n), key=lambda i: text[i:])
+
+
+def test_symbols_of_texts(shipped):
+    docs = shipped.createDataFrame([("bé",), (None,), ("",), ("bé",)], "text string")
+    symbols, n = text_symbols(docs)
+    rows = sorted(map(tuple, symbols.collect()))
+    assert [p for p, _ in rows] == list(range(n)) and n == 3 + 1 + 1 + 1 + 3 + 1
+    ends = [s for _, s in rows if s <= 5]
+    assert len(set(ends)) == 4
