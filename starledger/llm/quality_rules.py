@@ -68,9 +68,16 @@ def _repeat_words(words: Column) -> Column:
 
         return F.aggregate(found, zero, add, lambda done: done.getField("n"))
 
-    windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - 3), window))
-    counted = let(windows, lambda found: let(starts(found), covered))
-    return F.when(F.size(words) >= 3, counted).otherwise(F.lit(0).cast("bigint"))
+    places = F.sequence(F.lit(0), F.size(words) - 3)
+    counted = let(F.sort_array(F.transform(places, window)), lambda found: let(starts(found), covered))
+    # Where all hashes differ, as in most texts, so do all windows, and nothing needs to be sorted.
+    hashes = let(
+        F.transform(words, lambda word: F.xxhash64(word)),
+        lambda each: F.transform(places, lambda i: F.xxhash64(F.get(each, i), F.get(each, i + 1), F.get(each, i + 2))),
+    )
+    none = F.lit(0).cast("bigint")
+    some = let(hashes, lambda found: F.when(F.size(F.array_distinct(found)) == F.size(found), none).otherwise(counted))
+    return F.when(F.size(words) >= 3, some).otherwise(none)
 
 
 def text_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
