@@ -138,7 +138,7 @@ def grow(languages: list[str], counts: dict[tuple[str, int], tuple[np.ndarray, n
     none = (np.empty(0, np.int64), np.empty(0, np.int64))
     for n in range(1, DEPTH + 1):
         own = [counts.get((lang, n), none) for lang in languages]
-        grams = np.unique(np.concatenate([g for g, _ in own]))
+        grams = np.unique(np.concatenate([none[0], *(g for g, _ in own)]))
         contexts = np.unique(grams >> 8)
         seen = np.zeros((len(grams), len(languages)))
         for k, (g, c) in enumerate(own):

@@ -27,7 +27,9 @@ TRAIN_BYTES = 65_536
 ACCEPT_FROM = 0.3
 
 HIDDEN, ATTENTION = 32, 16
-EPOCHS, BATCH, RATE, DECAY = 25, 64, 3e-3, 1e-4
+EPOCHS, BATCH, RATE, DECAY = 25, 64, 3e-3, 1e-3
+# Few documents are gone through more often, until as many steps have been made.
+STEPS = 1_500
 SEED = 7
 HASHED_WORDS = 64
 SLICE_BYTES = 1_000_000
@@ -162,9 +164,12 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray) -> dic
     }
 
 
-def _gradients(w: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+def _gradients(
+    w: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray, labels: np.ndarray, counts: np.ndarray
+) -> dict[str, np.ndarray]:
+    """Of the mean cross entropy, in which each document counts ``counts`` times."""
     f = _forward(w, x, starts)
-    error = (f["score"] - labels) / len(labels)
+    error = (f["score"] - labels) * counts / len(labels)
     from_bag = np.repeat(np.outer(error, w["score"]), f["sizes"], axis=0)
     to_attention = (f["encoded"] * from_bag).sum(axis=1)
     mean = np.repeat(np.add.reduceat(f["attention"] * to_attention, starts), f["sizes"])
@@ -200,15 +205,20 @@ def fit(features: np.ndarray, starts: np.ndarray, labels: np.ndarray, epochs: in
         "score_0": np.zeros(()),
     }
     model = Model(mean, scale, w)
+    # Both labels weigh the same in all, however rare one is.
+    share = labels.mean() if len(labels) else 0.5
+    counts = np.where(labels == 1, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9)) if 0 < share < 1 else np.ones(len(labels))
     x, sizes = model.standardised(features), np.diff(np.append(starts, len(features)))
     one, two = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
-    step, steps = 0, epochs * -(-len(labels) // BATCH)
+    batches = -(-len(labels) // BATCH)
+    epochs = max(epochs, -(-STEPS // batches)) if batches else 0
+    step, steps = 0, epochs * batches
     for _ in range(epochs):
         order = random.permutation(len(labels))
         for at in range(0, len(order), BATCH):
             docs = order[at : at + BATCH]
             rows = np.concatenate([np.arange(starts[d], starts[d] + sizes[d]) for d in docs])
-            found = _gradients(w, x[rows], np.cumsum(sizes[docs]) - sizes[docs], labels[docs])
+            found = _gradients(w, x[rows], np.cumsum(sizes[docs]) - sizes[docs], labels[docs], counts[docs])
             step += 1
             rate = RATE * (1 - (step - 1) / steps)
             for k, g in found.items():

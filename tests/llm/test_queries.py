@@ -120,12 +120,13 @@ def test_gradients_equal_differences():
     model = quality_classifier.fit(np.zeros((0, quality_classifier.FEATURES), np.float32), np.zeros(0, np.int64), np.zeros(0))
     w = {k: rng.normal(0, 0.3, v.shape) for k, v in model.weights.items()}
     x, starts, labels = rng.normal(size=(7, quality_classifier.FEATURES)), np.array([0, 3, 4]), np.array([1.0, 0.0, 1.0])
+    counts = np.array([0.7, 2.0, 1.0])
 
     def loss(weights):
         p = quality_classifier._forward(weights, x, starts)["score"]
-        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+        return -np.mean(counts * (labels * np.log(p) + (1 - labels) * np.log(1 - p)))
 
-    found = quality_classifier._gradients(w, x, starts, labels)
+    found = quality_classifier._gradients(w, x, starts, labels, counts)
     for k, v in w.items():
         for at in [tuple(rng.integers(0, s) for s in v.shape) for _ in range(4)]:
             step = np.zeros_like(v)
