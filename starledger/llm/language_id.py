@@ -34,7 +34,7 @@ UNKNOWN = "und"
 UNIFORM_BITS, REJECT_BITS = 8.0, 64.0
 
 LETTER = re.compile(r"[^\W\d_]")
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 250_000
 # Every text is coded as if it followed these bytes, so each byte has a full context.
 LEAD = b"\n" * (DEPTH - 1)
 

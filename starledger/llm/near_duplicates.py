@@ -43,7 +43,7 @@ SKETCH_BITS, BLOCK = 2048, 1000
 SEED = 20_240_607
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 class _WordHashes(dict):

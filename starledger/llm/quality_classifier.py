@@ -32,7 +32,7 @@ EPOCHS, BATCH, RATE, DECAY = 25, 64, 3e-3, 1e-3
 STEPS = 1_500
 SEED = 7
 HASHED_WORDS = 64
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 250_000
 
 # Kinds of bytes that are counted.
 _KINDS = {

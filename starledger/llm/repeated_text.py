@@ -34,7 +34,7 @@ from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured
 
 LENGTH = 200
 GRAM = 8
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 250_000
 # Parts that a block is split into.
 PARTS = 8
 _P = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
