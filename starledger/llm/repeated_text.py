@@ -342,7 +342,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, br
         yield {"text": out} | {c: batch.column(c) for c in others}
 
     fields = "text string" + "".join(f", {c} ${c}" for c in others)
-    columns = {"text": "text" if text == "text" else text, "begins": "__begins", "ends": "__ends"} | others
+    columns = {"text": text, "begins": "__begins", "ends": "__ends"} | others
     back = per_batch(rows, columns, fields, cut)
     names = {v: k for k, v in others.items()} | {text: "text"}
     return back.select(*[F.col(names[c]).alias(c) for c in docs.columns])
