@@ -131,11 +131,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 _SHIPPED: set[str] = set()
+ARROW_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, so that tasks can import it wherever they run."""
+    """Send this package to the executors, once per application, so that tasks can import it wherever they run.
+
+    Texts are long, so Arrow batches get no more than ``BATCH_ROWS`` rows from here on: JVM and Python hold one each.
+    """
     context = spark.sparkContext
+    if int(spark.conf.get(ARROW_ROWS, "10000")) > BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
     if context.applicationId in _SHIPPED:
         return
     package = Path(starledger.__file__).parent
