@@ -13,8 +13,8 @@ sampled suffix and its name. Three things differ from the textbook form, and eac
 * Suffixes are ordered by digests of their bytes: equal neighbours are wanted, and any order brings them together.
 
 The strings that a sample serves form a block. The steps: (1) name every sample by the bytes common to all strings of its
-block, keep names that occur twice; (2) name the blocks left by all their bytes: where this longer name occurs twice, all
-strings of the block do; (3) of the others, and of one block of each longer name beside them, split the block and go on
+block, keep names that occur twice; (2) name the blocks left by all their bytes inside the text and by where in the block
+these begin: where this longer name occurs twice, it does so at two places, and all strings of the block do too; (3) of the others, and of one block of each longer name beside them, split the block and go on
 with its parts by (2), down to single strings. What is split lies at the ends of repeated passages, so it stays small.
 """
 
@@ -220,7 +220,9 @@ def _namer(length: int, before: int, least: int, parts: int, width: int):
 
     Listed per text are samples (``parts`` 0), whose blocks begin ``before`` bytes earlier and reach to ``least`` bytes
     before them; or beginnings of blocks, to be cut into ``parts`` blocks of ``width`` strings. A block of which no string
-    lies inside the text is left out; of one that reaches over its ends, the longer name takes what is inside.
+    lies inside the text is left out; of one that reaches over its ends, the longer name takes what is inside and how many
+    bytes are missing before it. So blocks of one text that reach over both its ends, and hold the same bytes of the same
+    place, don't share a longer name, and in those that share one each string has the same distance from the beginning.
     """
 
     def name(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -241,11 +243,13 @@ def _namer(length: int, before: int, least: int, parts: int, width: int):
             common = data.digests(at + wide - 1, at + length, 0)
             first = np.maximum(at, data.starts[of])
             last = np.minimum(at + wide - 1 + length, data.starts[of] + data.sizes[of])
+            missing = (first - at).astype(np.uint64)
+            longer = [data.digests(first, last, k) ^ _mix(missing * _P[k]) for k in (0, 1)]
             yield {
                 "key": keys.take(pa.array(of)),
                 "begin": pa.array(begin),
                 "name": pa.array(common.view(np.int64)),
-                "longer": _binary(np.column_stack([data.digests(first, last, k) for k in (0, 1)])),
+                "longer": _binary(np.column_stack(longer)),
             }
 
     return name

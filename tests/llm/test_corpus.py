@@ -159,6 +159,29 @@ def test_repeats_equal_brute_force(shipped, length, limit, seed):
     assert got == brute_repeats(rows, length)
 
 
+def periodic(rng, length):
+    """Texts little longer than ``length``, so that blocks reach over both ends, of a phrase said again and again: each
+    phrase in a text of its own, and then phrases that several texts share, from different offsets and beside other bytes."""
+    rows = []
+    for n in range(160):
+        phrase = "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(1, 40))) + f"#{n} "
+        for _ in range(1 if n < 100 else rng.randrange(2, 5)):
+            size, skip = length + rng.randrange(63), rng.randrange(len(phrase))
+            head, tail = ("".join(rng.choice("xyz") for _ in range(rng.choice([0, 0, 3, 9]))) for _ in range(2))
+            body = (phrase * (2 * size))[skip : skip + size - len(head) - len(tail)]
+            rows.append((len(rows), head + body + tail))
+    return rows
+
+
+@pytest.mark.parametrize(("length", "limit", "seed"), [(200, 1 << 26, 1), (200, 0, 2), (90, 1 << 26, 3)])
+def test_repeats_of_short_periodic_texts_equal_brute_force(shipped, length, limit, seed):
+    rows = [*periodic(random.Random(seed), length), (-1, " ".join(["same line here"] * 14))]
+    docs = shipped.createDataFrame([(i, t, "en", "s", *EXTRA) for i, t in rows], SCHEMA).repartition(4)
+    got = Counter(map(tuple, repeated_text.report(docs, length=length, broadcast_limit=limit).collect()))
+    want = brute_repeats(rows, length)
+    assert got == want and (length < 200 or any(k[0] == -1 and k[2] == 0 for k in want))
+
+
 def test_repeats_in_odd_documents_and_in_nothing(odd, small, none):
     for docs in (odd, small):
         rows = [(i, t if t is None or len(t) < 100_000 else t) for i, t in pairs_of(docs)]
