@@ -15,7 +15,7 @@ from starledger.llm.common import ship, table, written
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labelled documents teach; texts without letters, and texts that no
-    language explains, go."""
+    language explains, go. If none is taught, every text with a letter stays."""
     ship(spark)
     return language_id.in_a_language(docs, language_id.train(docs))
 

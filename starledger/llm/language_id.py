@@ -17,14 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starledger.llm.common import filter_rows, held_out, per_batch, slices, written
 
 # Bytes per entry of the tree: a context of up to four bytes and what follows.
 DEPTH = 5
-# The bounded sample that the trees are grown from: documents per language, and bytes per document.
+# The bounded sample that the trees are grown from: documents per language, and bytes from the start of each document.
 TRAIN_DOCUMENTS = 400
 TRAIN_BYTES = 65_536
 # Entries of four and five bytes that occur only once are left out of the frozen trees.
@@ -159,6 +159,12 @@ def grow(languages: list[str], counts: dict[tuple[str, int], tuple[np.ndarray, n
     return trees
 
 
+def _start(text: str, most_bytes: int) -> Column:
+    """The text, or the whole characters among its first ``most_bytes`` bytes, except the last."""
+    head = F.make_valid_utf8(F.substring(F.col(text).cast("binary"), 1, most_bytes).cast("string"))
+    return F.when(F.octet_length(text) <= most_bytes, F.col(text)).otherwise(F.left(head, F.length(head) - 1))
+
+
 def train(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -169,17 +175,15 @@ def train(
 ) -> Trees:
     """Grow the trees from a bounded sample of the labelled rows that aren't held out.
 
-    Per language, of its non-empty texts of at most ``most_bytes`` bytes, the ``documents`` whose ids have the smallest
-    hashes (all rows of an id count as one). Rows without text, language or id are no examples.
+    Per language, of its non-empty texts, the ``documents`` whose ids have the smallest hashes (all rows of an id count as
+    one). Of a longer text, its first ``most_bytes`` bytes are learned. Rows without text, language or id are no examples.
     """
     examples = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")
     ).filter(
-        ~held_out("doc_id")
-        & F.col("doc_id").isNotNull()
-        & F.col("lang").isNotNull()
-        & F.octet_length("text").between(1, most_bytes)
+        ~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") >= 1)
     )
+    examples = examples.withColumn("text", _start("text", most_bytes))
     first = Window.partitionBy("lang").orderBy("hash", "doc_id")
     ranked = examples.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash")).withColumn(
         "rank", F.row_number().over(first)
@@ -266,12 +270,15 @@ def in_a_language(docs: DataFrame, trees: Trees, text: str = "text") -> DataFram
     """The rows of ``docs`` whose text is in one of the languages, all columns unchanged.
 
     Rejected are texts identified as ``und``, and those that the best language codes with over ``REJECT_BITS`` bits more
-    than a uniform code needs: no language explains them. A short text can't exceed that by chance.
+    than a uniform code needs: no language explains them. A short text can't exceed that by chance. If no language was
+    learned, every text with a letter stays.
     """
     model = docs.sparkSession.sparkContext.broadcast(trees)
 
     def keep(batch: pa.RecordBatch) -> pa.Array:
         texts = batch.column("text").to_pylist()
+        if not model.value.languages:
+            return pa.array([bool(t and LETTER.search(t)) for t in texts], pa.bool_())
         langs, _, bits = _judged(texts, model.value)
         return pa.array(
             [x != UNKNOWN and b <= UNIFORM_BITS * _size(t) + REJECT_BITS for x, b, t in zip(langs, bits, texts, strict=True)],

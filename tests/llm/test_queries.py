@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -112,6 +113,25 @@ def test_language_of_odd_documents(shipped, odd, none):
     assert language_id.identify(none, trees).count() == 0
 
 
+def test_a_language_of_long_texts_only_is_learned(shipped):
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choice("abcd ") for _ in range(300)), "short") for i in range(20)]
+    rows += [(100 + i, "".join(rng.choice("日本語éß ") for _ in range(30_000)), "long") for i in range(8)]
+    docs = shipped.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    trees = language_id.train(docs)
+    assert trees.languages == ["long", "short"]
+    assert {(r["lang_pred"] == "long", r["doc_id"] >= 100) for r in language_id.identify(docs, trees).collect()} == {(True, True), (False, False)}
+    assert language_id.in_a_language(docs, trees).count() == len(rows)
+    cut = docs.select("text", language_id._start("text", 1001).alias("start")).collect()
+    assert all(r["text"].startswith(r["start"]) for r in cut)
+    assert all(r["start"] == r["text"] if len(r["text"]) == 300 else 996 <= len(r["start"].encode()) <= 1001 for r in cut)
+
+
+def test_without_a_language_texts_with_letters_stay(shipped, odd, none):
+    kept = {r["doc_id"] for r in language_id.in_a_language(odd, language_id.train(none)).collect()}
+    assert kept == {r["doc_id"] for r in odd.collect() if re.search(r"[^\W\d_]", r["text"] or "")} and not kept & {4, 5, 6}
+
+
 # --- quality classifier ---
 
 
