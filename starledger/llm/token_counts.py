@@ -19,6 +19,8 @@ DEFAULT_FILE = "word_bpe_49k.json"
 LIMIT = 2048
 # Merged pre-tokens that a task remembers; beyond that it starts anew.
 REMEMBERED = 600_000
+# Longer ones, in characters, are not remembered, so what a worker holds has a bound in bytes.
+LONGEST_REMEMBERED = 32
 
 # Pre-tokens of lower-cased ASCII text: what the tokenizer's own pattern matches there. White space is dropped.
 ASCII_PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
@@ -74,13 +76,12 @@ class Counter:
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, int] = dict.fromkeys(whole, 1)
 
-    def _learn(self, pre_tokens: set[str]) -> None:
-        """Merge what isn't whole and not remembered."""
-        if len(self.known) > len(self.whole) + REMEMBERED:
-            self.known = dict.fromkeys(self.whole, 1)
-        new = list(pre_tokens)
+    def _learn(self, pre_tokens: set[str]) -> dict[str, int]:
+        """Merge what isn't whole and not remembered; the counts of what is too long to be remembered."""
+        new, long = list(pre_tokens), {}
         for pre_token, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[pre_token] = len(e.ids)
+            (self.known if len(pre_token) <= LONGEST_REMEMBERED else long)[pre_token] = len(e.ids)
+        return long
 
     def _pre_tokens(self, text: str) -> list[str]:
         """Pieces whose token counts add up to that of ``text``; none of them is cut by anything but white space.
@@ -101,10 +102,11 @@ class Counter:
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
         pieces = self._pre_tokens(text)
         new = {p for p in pieces if p not in self.known}
-        if new:
-            self._learn(new)
-            if not all(p in self.known for p in pieces):  # the memory has just been cleared
-                self._learn({p for p in pieces if p not in self.known})
+        if new and len(self.known) > len(self.whole) + REMEMBERED:
+            self.known = dict.fromkeys(self.whole, 1)
+            new = {p for p in pieces if p not in self.known}
+        if new and (long := self._learn(new)):
+            return sum(long[p] if p in long else self.known[p] for p in pieces)
         return sum(map(self.known.__getitem__, pieces))
 
 

@@ -91,6 +91,15 @@ def test_whole_tokens_are_proven_and_memory_is_bounded(word_level, none, monkeyp
     assert token_counts.count_tokens(none).count() == 0
 
 
+def test_long_pieces_are_counted_but_not_remembered(word_level):
+    counter = token_counts.Counter(token_counts.tokenizer_path(), token_counts.whole_tokens(token_counts.tokenizer_path()))
+    before = len(counter.known)
+    for text in ["日本語の文" * 400, "qzx" * 500 + " the " + "日本語" * 30 + " the", "#" * 3000]:
+        for _ in range(2):
+            assert counter.count(text) == len(ids_of(word_level, text))
+    assert len(counter.known) == before
+
+
 def brute_counts(text):
     text = text or ""
     words = [w for w in re.split(r"[\x20\x09-\x0d]+", text) if w]
