@@ -77,3 +77,47 @@ SELECT s.doc_id, cast(len(sh) as bigint) AS n_shingles, coalesce(component_id, s
        s.doc_id = coalesce(component_id, s.doc_id) AS kept
 FROM s LEFT JOIN m ON s.doc_id = m.doc_id
 """
+
+_NO_TERM = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+NORM_SEARCH = f"""
+WITH d AS (SELECT doc_id, {_words("text", _NO_TERM)} AS terms FROM documents),
+b AS (SELECT item_id, list_distinct({_words("text", _NO_TERM)}) AS terms FROM benchmark),
+s AS (SELECT cast(count(*) FILTER (len(terms) > 0) as bigint) AS all_docs, cast(sum(len(terms)) as bigint) AS all_terms FROM d),
+p AS (SELECT doc_id, term, count(*) AS tf, any_value(n) AS n
+      FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d) GROUP BY doc_id, term),
+q AS (SELECT item_id, unnest(terms) AS term FROM b),
+w AS (SELECT term, cast(floor(1000 * ln((2 * any_value(all_docs) + 2) / (2 * count(*) + 1))) as bigint) AS w
+      FROM p, s WHERE term IN (SELECT term FROM q) GROUP BY term),
+i AS (SELECT doc_id, p.term, w.w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * all_docs) // all_terms)))) AS impact
+      FROM p JOIN w ON p.term = w.term, s),
+r AS (SELECT item_id, doc_id, cast(sum(impact) as bigint) AS score FROM q JOIN i ON q.term = i.term GROUP BY item_id, doc_id)
+SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) as int) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 50
+"""
+
+_PIECES = f"string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')"
+_PARTS_OF_PIECE = r"list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '')"
+_SCORE = "(1000::hugeint * a * n) // (l::hugeint * r)"
+
+COLLOCATIONS = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents),
+w AS (SELECT lang, {_PARTS_OF_PIECE} AS words FROM p),
+z AS (SELECT lang, cast(sum(len(words)) as bigint) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, words, unnest(range(0, len(words) - k + 1)) AS i FROM w, range(1, 6) t(k) WHERE len(words) >= k),
+f AS (SELECT lang, k, array_to_string(words[i + 1:i + k], ' ') AS phrase, count(*) AS f FROM g GROUP BY 1, 2, 3
+      HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+u AS (SELECT c.*, unnest(range(1, k)) AS cut FROM c),
+x AS (SELECT u.lang, u.phrase, u.k, u.a, cut, h.f AS l, t.f AS r, z.n FROM u
+      JOIN f h ON h.lang = u.lang AND h.k = cut AND h.phrase = array_to_string(words[1:cut], ' ')
+      JOIN f t ON t.lang = u.lang AND t.k = u.k - cut AND t.phrase = array_to_string(words[cut + 1:u.k], ' ')
+      JOIN z ON z.lang = u.lang),
+b AS (SELECT lang, phrase, a, l, r, n, cast({_SCORE} as bigint) AS score FROM x
+      QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY {_SCORE}, cut) = 1),
+o AS (SELECT lang, a, k, words, unnest(range(2, k)) AS size FROM c),
+s AS (SELECT lang, a, size, words, unnest(range(0, k - size + 1)) AS i FROM o),
+v AS (SELECT lang, array_to_string(words[i + 1:i + size], ' ') AS phrase, max(a) AS cover FROM s GROUP BY 1, 2)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+FROM b LEFT JOIN v ON v.lang = b.lang AND v.phrase = b.phrase WHERE coalesce(100 * cover < 100 * a, true) QUALIFY rank <= 2000
+"""

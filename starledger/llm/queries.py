@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starledger.llm import decontamination, language_id, near_duplicates, oracles, packing, quality_classifier, quality_rules
-from starledger.llm import repeated_text, sharding, token_counts, warc
+from starledger.llm import byte_bpe, collocations, decontamination, language_id, near_duplicates, norm_search, oracles, packing
+from starledger.llm import quality_classifier, quality_rules, repeated_text, sharding, token_counts, warc
 from starledger.llm.common import held_out, ship, table
 from starledger.session import shared_folder
 
@@ -72,6 +72,21 @@ def _op10_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    decoded = byte_bpe.decode(byte_bpe.encode(_documents(spark, folder)))
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def _op12_norm_bucket_search(spark: SparkSession, folder: str) -> DataFrame:
+    return norm_search.search(_documents(spark, folder), table(spark, folder, "benchmark"))
+
+
+def _op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, folder))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_warc_shards": _op1_warc_shards,
     "op2_attention_quality": _op2_attention_quality,
@@ -83,6 +98,9 @@ _QUERIES: dict[str, Query] = {
     "op8_ppm_language_id": _op8_ppm_language_id,
     "op9_karmarkar_karp_shards": _op9_karmarkar_karp_shards,
     "op10_minhash_near_duplicates": _op10_minhash_near_duplicates,
+    "op11_byte_bpe": _op11_byte_bpe,
+    "op12_norm_bucket_search": _op12_norm_bucket_search,
+    "op13_phrase_collocations": _op13_phrase_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -105,4 +123,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_benchmark_decontamination": oracles.DECONTAMINATION,
         "op7_repeated_text": oracles.REPEATED_TEXT,
         "op10_minhash_near_duplicates": oracles.NEAR_DUPLICATES,
+        "op12_norm_bucket_search": oracles.NORM_SEARCH,
+        "op13_phrase_collocations": oracles.COLLOCATIONS,
     }
