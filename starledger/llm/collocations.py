@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starledger.llm.common import discard, per_batch, ship, written
+from starledger.llm.common import batch_rows, discard, per_batch, ship, written
 
 LONGEST = 5
 LEAST = 100
@@ -33,7 +33,7 @@ TOP = 2000
 # A longer candidate with this share of the occurrences, in percent, makes a shorter one go.
 COVERED_PCT = 100
 # Words of a slice, about.
-SLICE_WORDS = 1_000_000
+SLICE_WORDS = 500_000
 # Side of a tile, and the share of its cells from which on it is counted densely.
 TILE = 512
 DENSE = 1 / 8
@@ -82,7 +82,8 @@ def collocations(
         frequent = _numbered(_summed(level, "lang", "symbol").filter(F.col("f") >= least), f"phrases-{length}-frequent")
         phrases.append(_described(frequent, phrases[-1] if phrases else None, length))
         if length < longest:
-            following = written(_next_level(level, frequent), f"phrases-{length + 1}")
+            with batch_rows(docs.sparkSession, 1):
+                following = written(_next_level(level, frequent), f"phrases-{length + 1}")
             discard(level)
             level = following
     return _ranked(_scored(phrases, sizes, covered_pct), top)
@@ -113,7 +114,7 @@ class _Words:
         counts = np.bincount(tokens[:starts], minlength=len(self.places))[1:]
         symbols = [w.decode() for w in self.places if w != _BREAK]
         names = ["slice", "lang", "starts", "tokens", "symbols", "counts"]
-        row = [number, lang, starts, tokens.tobytes(), symbols, counts.tolist()]
+        row = [number, lang, starts, tokens.tobytes(), symbols, counts]
         return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _SLICE_TYPES, strict=True)], names)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import re
 import tempfile
@@ -130,6 +131,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+@contextlib.contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of no more than ``rows`` rows in what is run inside the block, for rows that are large."""
+    before = spark.conf.get(ARROW_ROWS, None)
+    spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(ARROW_ROWS) if before is None else spark.conf.set(ARROW_ROWS, before)
+
+
 _SHIPPED: set[str] = set()
 ARROW_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
 
