@@ -73,7 +73,7 @@ def collocations(
     ship(docs.sparkSession)
     language = F.coalesce(F.col(f"`{lang}`"), F.lit(NO_LANGUAGE))
     rows = docs.select(language.alias("lang"), F.col(f"`{text}`").alias("text"))
-    level = written(_word_slices(rows, slice_words, longest), "phrases-1")
+    level = written(_word_slices(rows, slice_words, longest), "phrases-1", large_rows=True)
     sizes = _summed(level, "lang").withColumnRenamed("f", "n")
     sizes = written(sizes, "phrases-n")
 
@@ -83,7 +83,7 @@ def collocations(
         phrases.append(_described(frequent, phrases[-1] if phrases else None, length))
         if length < longest:
             with batch_rows(docs.sparkSession, 1):
-                following = written(_next_level(level, frequent), f"phrases-{length + 1}")
+                following = written(_next_level(level, frequent), f"phrases-{length + 1}", large_rows=True)
             discard(level)
             level = following
     return _ranked(_scored(phrases, sizes, covered_pct), top)

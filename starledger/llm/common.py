@@ -27,11 +27,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, and safe from lost executors."""
+def written(df: DataFrame, purpose: str, large_rows: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and safe from lost executors.
+
+    ``large_rows`` looks at the size of a page after every row. Otherwise that is done after 100, and pages of rows of
+    some MB are buffered outside the heap until then.
+    """
     spark = df.sparkSession
     folder = shared_folder(spark, purpose)
-    df.write.parquet(folder)
+    writer = df.write
+    if large_rows:
+        writer = writer.option("parquet.page.size.row.check.min", 1).option("parquet.page.size.row.check.max", 1)
+    writer.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
