@@ -10,7 +10,7 @@ ones, so nothing is missed.
 
 The corpus is held as *slices*: the numbers of the words of some texts, one after the other, and the list of the distinct
 symbols among them with their counts. Only those lists are joined and summed up over the corpus; a symbol travels at most
-once per slice, whatever its frequency, and no vocabulary is ever held as a whole.
+once per slice, whatever its frequency, and a vocabulary is held as a whole only where it was measured to be small.
 """
 
 from __future__ import annotations
@@ -21,11 +21,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starledger.llm.common import batch_rows, discard, per_batch, ship, written
+from starledger.operators.joins import BROADCAST_LIMIT, measured_bytes
 
 LONGEST = 5
 LEAST = 100
@@ -59,6 +61,7 @@ def collocations(
     covered_pct: int = COVERED_PCT,
     top: int = TOP,
     slice_words: int = SLICE_WORDS,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``top`` phrases of 2 to ``longest`` words of every language.
 
@@ -83,7 +86,7 @@ def collocations(
         phrases.append(_described(frequent, phrases[-1] if phrases else None, length))
         if length < longest:
             with batch_rows(docs.sparkSession, 1):
-                following = written(_next_level(level, frequent), f"phrases-{length + 1}", large_rows=True)
+                following = written(_next_level(level, frequent, broadcast_limit), f"phrases-{length + 1}", large_rows=True)
             discard(level)
             level = following
     return _ranked(_scored(phrases, sizes, covered_pct), top)
@@ -179,41 +182,84 @@ def pair_counts(left: np.ndarray, right: np.ndarray, tile: int = TILE) -> tuple[
     return codes[order], counts[order].astype(np.int64)
 
 
-def _next_level(level: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The slices with pairs of neighbouring frequent symbols as symbols."""
+_COLUMNS = ("slice", "lang", "starts", "tokens")
+
+
+def _next_level(level: DataFrame, frequent: DataFrame, broadcast_limit: int) -> DataFrame:
+    """The slices with pairs of neighbouring frequent symbols as symbols.
+
+    The numbers of frequent symbols go to every task if they were measured to be few. Else each slice's list of symbols is
+    joined with them, and what was found is gathered by slice; a gathered group is bounded by the size of a slice.
+    """
+    fields = _SLICES.format("bigint")
+    if measured_bytes(frequent) <= broadcast_limit:
+        numbers = level.sparkSession.sparkContext.broadcast(_by_lang(frequent))
+
+        def look_up(batch: pa.RecordBatch) -> Iterator[dict]:
+            for row in range(batch.num_rows):
+                known = numbers.value.get(batch.column("lang")[row].as_py())
+                if known is not None:
+                    symbols = batch.column("symbols")[row].values
+                    places, found = _found(symbols, *known)
+                    yield from _paired(batch.slice(row, 1), len(symbols), places, found)
+
+        return per_batch(level, {c: c for c in (*_COLUMNS, "symbols")}, fields, look_up)
+
     symbols = level.select("slice", "lang", F.posexplode("symbols").alias("place", "symbol"))
     known = symbols.join(frequent.select("lang", "symbol", "number"), ["lang", "symbol"])
-    # At most one entry per distinct symbol of a slice, so a group is bounded by the size of a slice.
-    numbers = known.groupBy("slice").agg(F.collect_list("place").alias("places"), F.collect_list("number").alias("numbers"))
+    gathered = known.groupBy("slice").agg(F.collect_list("place").alias("places"), F.collect_list("number").alias("numbers"))
 
-    def run(batch: pa.RecordBatch) -> Iterator[dict]:
+    def gather(batch: pa.RecordBatch) -> Iterator[dict]:
         for row in range(batch.num_rows):
-            old, starts = np.frombuffer(batch.column("tokens")[row].as_py(), np.int32), batch.column("starts")[row].as_py()
-            lookup = np.full(batch.column("width")[row].as_py() + 1, -1, np.int64)
-            lookup[batch.column("places")[row].values.to_numpy() + 1] = batch.column("numbers")[row].values.to_numpy()
-            left, right = lookup[old[:-1]], lookup[old[1:]]
-            paired = np.flatnonzero((left >= 0) & (right >= 0))
-            own, after = paired[paired < starts], paired[paired >= starts]
-            codes, counts = pair_counts(left[own], right[own])
-            # Pairs after the slice's own part are listed, as later levels need their numbers, but count elsewhere.
-            extra = np.setdiff1d((left[after] << 32) | right[after], codes)
-            order = np.argsort(codes := np.concatenate([codes, extra]))
-            codes, counts = codes[order], np.concatenate([counts, np.zeros(len(extra), np.int64)])[order]
-            tokens = np.zeros(len(left), np.int32)
-            tokens[paired] = np.searchsorted(codes, (left[paired] << 32) | right[paired]) + 1
-            if len(codes):
-                yield {
-                    "slice": batch.column("slice").slice(row, 1),
-                    "lang": batch.column("lang").slice(row, 1),
-                    "starts": [starts],
-                    "tokens": [tokens.tobytes()],
-                    "symbols": [codes],
-                    "counts": [counts],
-                }
-
-    joined = level.select("slice", "lang", "starts", "tokens", F.size("symbols").alias("width")).join(numbers, "slice")
-    columns = {c: c for c in ("slice", "lang", "starts", "tokens", "width", "places", "numbers")}
-    return per_batch(joined, columns, _SLICES.format("bigint"), run)
+            places, found = (batch.column(c)[row].values.to_numpy() for c in ("places", "numbers"))
+            yield from _paired(batch.slice(row, 1), batch.column("width")[row].as_py(), places, found)
+
+    joined = level.select(*_COLUMNS, F.size("symbols").alias("width")).join(gathered, "slice")
+    return per_batch(joined, {c: c for c in (*_COLUMNS, "width", "places", "numbers")}, fields, gather)
+
+
+def _by_lang(frequent: DataFrame) -> dict[str, tuple[pa.Array, np.ndarray]]:
+    """Per language the frequent symbols in order, and their numbers."""
+    table = frequent.select("lang", "symbol", "number").toArrow().sort_by([("lang", "ascending"), ("symbol", "ascending")])
+    table = table.combine_chunks()
+    out = {}
+    for lang in pc.unique(table.column("lang")).to_pylist():
+        part = table.filter(pc.equal(table.column("lang"), lang)).combine_chunks()
+        out[lang] = (part.column("symbol").combine_chunks(), part.column("number").to_numpy())
+    return out
+
+
+def _found(symbols: pa.Array, known: pa.Array, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of those symbols that are known, and their numbers."""
+    index = pc.index_in(symbols, value_set=known.cast(symbols.type))
+    places = np.flatnonzero(index.is_valid().to_numpy(zero_copy_only=False))
+    return places, numbers[index.drop_null().to_numpy()]
+
+
+def _paired(one: pa.RecordBatch, width: int, places: np.ndarray, numbers: np.ndarray) -> Iterator[dict]:
+    """The next level of one slice of which ``width`` symbols are listed and those at some places have numbers."""
+    old, starts = np.frombuffer(one.column("tokens")[0].as_py(), np.int32), one.column("starts")[0].as_py()
+    lookup = np.full(width + 1, -1, np.int64)
+    lookup[places + 1] = numbers
+    left, right = lookup[old[:-1]], lookup[old[1:]]
+    paired = np.flatnonzero((left >= 0) & (right >= 0))
+    own, after = paired[paired < starts], paired[paired >= starts]
+    codes, counts = pair_counts(left[own], right[own])
+    # Pairs after the slice's own part are listed, as later levels need their numbers, but count elsewhere.
+    extra = np.setdiff1d((left[after] << 32) | right[after], codes)
+    order = np.argsort(codes := np.concatenate([codes, extra]))
+    codes, counts = codes[order], np.concatenate([counts, np.zeros(len(extra), np.int64)])[order]
+    tokens = np.zeros(len(left), np.int32)
+    tokens[paired] = np.searchsorted(codes, (left[paired] << 32) | right[paired]) + 1
+    if len(codes):
+        yield {
+            "slice": one.column("slice"),
+            "lang": one.column("lang"),
+            "starts": [starts],
+            "tokens": [tokens.tobytes()],
+            "symbols": [codes],
+            "counts": [counts],
+        }
 
 
 def _summed(level: DataFrame, *keys: str) -> DataFrame:

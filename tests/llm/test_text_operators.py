@@ -192,8 +192,11 @@ def brute_collocations(rows, longest, least, covered_pct, top):
 COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
 
-@pytest.mark.parametrize("slice_words, longest, least, covered_pct, top", [(7, 5, 3, 100, 2000), (1_000_000, 5, 2, 60, 40), (50, 3, 4, 100, 10)])
-def test_collocations_are_those_of_plain_counting(shipped, monkeypatch, slice_words, longest, least, covered_pct, top):
+@pytest.mark.parametrize(
+    "slice_words, longest, least, covered_pct, top, limit",
+    [(7, 5, 3, 100, 2000, 0), (7, 5, 3, 100, 2000, 1 << 20), (1_000_000, 5, 2, 60, 40, 1 << 20), (50, 3, 4, 100, 10, 0)],
+)
+def test_collocations_are_those_of_plain_counting(shipped, monkeypatch, slice_words, longest, least, covered_pct, top, limit):
     monkeypatch.setattr(collocations, "TILE", 4)
     rng = random.Random(slice_words)
     vocabulary = ["Rome", "É", "a", "of", "x y", "new", "york", "the", "\x00", "日本"]
@@ -203,7 +206,9 @@ def test_collocations_are_those_of_plain_counting(shipped, monkeypatch, slice_wo
         rows.append((rng.choice(["en", "en", "de", None, "und"]), " ".join(words)))
     rows += [("en", None), (None, None), ("fr", ""), ("fr", " ., "), ("en", "new york " * 300)] + [("de", "of the new york a")] * 40
     docs = shipped.createDataFrame([(t, lang, i, "s") for i, (lang, t) in enumerate(rows)], "text string, lang string, n int, symbol string")
-    found = collocations.collocations(docs.repartition(3), longest=longest, least=least, covered_pct=covered_pct, top=top, slice_words=slice_words)
+    found = collocations.collocations(
+        docs.repartition(3), "text", "lang", longest, least, covered_pct, top, slice_words, broadcast_limit=limit
+    )
     assert found.columns == COLUMNS
     assert set(map(tuple, found.collect())) == brute_collocations(rows, longest, least, covered_pct, top)
 
