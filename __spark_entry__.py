@@ -6,6 +6,7 @@ all of their rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,16 @@ from starledger.operators import (
     matching_report,
     null_drop_report,
     null_ratios,
+    counts_of_sketches,
+    merge_sketches,
     only_matching,
+    relative_error,
     remove_duplicates,
+    store_clean,
     unique_value_counts,
     unique_values,
     value_report,
+    value_sketches,
 )
 from starledger.plans import exploration, gold, silver, insights, movies_silver, ratings_silver, store_gold
 from starledger.sources import (
@@ -35,17 +41,21 @@ from starledger.sources import (
     MOVIES_FILE,
     RATINGS_FILE,
     corrupt_report,
+    read_by_film,
     read_gold,
     read_movies,
     read_ratings,
     register_views,
     stand_ins,
+    store_by_film,
     write_csv,
 )
 
 try:  # the operators for training data; everything else works without them
     from starledger.llm import queries as llm
-except ImportError:
+except ImportError as absent:
+    if absent.name not in ("starledger.llm", "corpus_pipeline"):
+        raise
     llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +67,7 @@ TITLE_PATTERN = "small ring%"
 TITLE = "blue anvil (1954)"
 GENRE, OF_GENRE = "ECONOMY", "PROMO"
 YEAR, LATE_YEAR = 1975, 1990
+QUANTILES = [0.1, 0.25, 0.5, 0.75, 0.9]
 # Options under which nothing is broadcast and every film is split.
 ALWAYS_SPLIT = {"broadcast_limit": 0, "rows_per_split": 4}
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -157,7 +168,10 @@ def _insights_of_stored_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Genres and years from one stored pass over the ratings."""
     path = shared_folder(spark, "film-totals")
     insights.store_film_totals(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), path)
-    films = insights.read_film_totals(spark, path)
+    return _genres_and_years(insights.read_film_totals(spark, path))
+
+
+def _genres_and_years(films: DataFrame) -> DataFrame:
     genres = insights.genre_avg_rating(insights.genre_totals_of_films(films))
     years = insights.avg_rating_by_year(insights.year_totals_of_films(films))
     return genres.select(F.lit("genre").alias("kind"), F.col("genre").alias("name"), "avg_rating").unionByName(
@@ -165,6 +179,74 @@ def _insights_of_stored_totals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _insights_of_merged_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from totals that were stored batch by batch, one of the batches twice."""
+    path = shared_folder(spark, "merged-totals")
+    lines = _lines(spark, folder)
+    flags = sorted(r[0] for r in lines.select("l_returnflag").distinct().collect())  # three letters
+    for flag in [*flags, flags[0]]:
+        batch = lines.filter(F.col("l_returnflag") == flag)
+        insights.add_rating_totals(stand_ins.ratings_from_lineitem(batch), path, flag)
+    return _genres_and_years(insights.merged_film_totals(stand_ins.movies(spark, folder), path))
+
+
+def _insights_of_bucketed_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from films and ratings that are stored by film."""
+    films, rated = (f"{name}_{uuid.uuid4().hex}" for name in ("films", "ratings"))
+    store_by_film(stand_ins.movies(spark, folder), films)
+    store_by_film(stand_ins.ratings(spark, folder), rated)
+    return _genres_and_years(insights.film_totals(read_by_film(spark, films), read_by_film(spark, rated)))
+
+
+def _approx_against_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct values, counted exactly, and whether the estimate lies within its error; sketches are stored per batch."""
+    path = shared_folder(spark, "sketches")
+    ratings = _ratings_silver(spark, folder)
+    for batch in (ratings.filter(F.col("rating") > 2.5), ratings.filter(~F.coalesce(F.col("rating") > 2.5, F.lit(False)))):
+        value_sketches(batch, ["rating_timestamp"]).write.mode("append").parquet(path)
+    found = counts_of_sketches(merge_sketches(spark.read.parquet(path))).withColumnRenamed("unique_values", "estimate")
+    exact = unique_value_counts(ratings, ["rating_timestamp"])
+    off = F.abs(F.col("estimate") - F.col("unique_values"))
+    return exact.join(found, "column_name").select(
+        "column_name", "unique_values", (off <= F.ceil(F.col("unique_values") * relative_error())).alias("within_error")
+    )
+
+
+def _quantiles_within_error(spark: SparkSession, folder: str) -> DataFrame:
+    """Per genre and share the gold rows of the genre, and whether the quantile's rank lies within the error."""
+    sketches = insights.rating_sketches(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder))
+    found = insights.rating_quantiles(sketches, QUANTILES).withColumnRenamed("rating", "quantile")
+    counted = insights.rating_histogram_of_films(_film_totals(spark, folder, by_rating=True))
+    rows = counted.join(found, "genre").groupBy("genre", "share").agg(
+        F.sum("num_rows").alias("num_rows"),
+        F.sum(F.when(F.col("rating") < F.col("quantile"), F.col("num_rows")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("rating") <= F.col("quantile"), F.col("num_rows")).otherwise(0)).alias("up_to"),
+    )
+    low, high = F.col("below") / F.col("num_rows"), F.col("up_to") / F.col("num_rows")
+    error = insights.quantile_error()
+    within = (low <= F.col("share") + error) & (high >= F.col("share") - error)
+    return rows.select("genre", "share", "num_rows", within.alias("within_error"))
+
+
+def _clean_report_movies(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _leaky_silver(spark, folder)
+    return store_clean(rows, shared_folder(spark, "clean"), "movies", ["movieId", "genre"], ["title", "year"], leaked="genre")
+
+
+def _clean_report_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    rows, order = _ratings_silver(spark, folder), ["timestamp", "rating"]
+    return store_clean(rows, shared_folder(spark, "clean"), "ratings", ["userId", "movieId"], order)
+
+
+def _gold_replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored table replaced by a smaller one, the old one being there until the new one is complete."""
+    path = shared_folder(spark, "gold")
+    films, rated = stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder)
+    store_gold(films, rated, path, safely=True)
+    store_gold(films.filter(silver.release_year(F.col("title")) >= LATE_YEAR), rated, path, safely=True)
+    return read_gold(spark, path)
+
+
 def _stored_gold(spark: SparkSession, folder: str, drop_nulls: bool = True, **options: int) -> DataFrame:
     path = shared_folder(spark, "gold")
     store_gold(stand_ins.movies(spark, folder), stand_ins.ratings(spark, folder), path, drop_nulls, **options)
@@ -202,6 +284,7 @@ def _own_queries() -> dict[str, Query]:
         "gold_split_roundtrip": lambda s, d: _stored_gold(s, d, **ALWAYS_SPLIT),
         "gold_year_slice": lambda s, d: _stored_gold(s, d).filter(F.col("year") == YEAR),
         "gold_overwritten": _gold_overwritten,
+        "gold_replaced_safely": _gold_replaced,
         "gold_raw_roundtrip": lambda s, d: _plain_time(_stored_gold(s, d, drop_nulls=False)),
         # SQL exploration
         "sql_first_movies": _over_views(exploration.first_movies),
@@ -233,6 +316,7 @@ def _own_queries() -> dict[str, Query]:
             _ratings_silver(s, d), ignore=["userId", "movieId", "timestamp", "rating_timestamp"]
         ),
         "unique_values_profile_all": lambda s, d: unique_values(_movies_silver(s, d), None),
+        "unique_value_counts_approx": _approx_against_exact,
         "unique_value_counts_ratings": lambda s, d: unique_value_counts(_ratings_silver(s, d), ["rating_timestamp"]),
         # misfiled genres
         "genre_leak_quarantine": lambda s, d: only_matching(_leaky_silver(s, d), "genre"),
@@ -247,6 +331,9 @@ def _own_queries() -> dict[str, Query]:
         "ratings_clean": lambda s, d: _plain_time(drop_incomplete(_ratings_silver(s, d))),
         "null_drop_report": lambda s, d: null_drop_report(_movies_silver(s, d), "movies"),
         "null_drop_report_ratings": lambda s, d: null_drop_report(_ratings_silver(s, d), "ratings"),
+        # reports counted while a table is written
+        "clean_report_movies": _clean_report_movies,
+        "clean_report_ratings": _clean_report_ratings,
         # gold
         "gold_clean": _gold,
         "gold_clean_split": _split_gold,
@@ -263,6 +350,9 @@ def _own_queries() -> dict[str, Query]:
         "ratings_long": lambda s, d: insights.ratings_long(_gold(s, d)),
         "rating_histogram": lambda s, d: insights.rating_histogram_of_films(_film_totals(s, d, by_rating=True)),
         "insights_of_stored_totals": _insights_of_stored_totals,
+        "insights_of_merged_totals": _insights_of_merged_totals,
+        "insights_of_bucketed_tables": _insights_of_bucketed_tables,
+        "rating_quantiles": _quantiles_within_error,
         "avg_rating_by_year": lambda s, d: insights.avg_rating_by_year(_year_totals(s, d)),
         "avg_rating_by_year_raw": lambda s, d: insights.avg_rating_by_year(_year_totals(s, d, drop_nulls=False)),
         "avg_rating_by_year_of_gold": lambda s, d: insights.avg_rating_by_year(insights.year_totals(_gold(s, d))),
@@ -357,6 +447,27 @@ def _removal_report(hit: str) -> str:
         count(*) FILTER (NOT ({hit})) AS kept_rows, count(*) FILTER (genre IS NULL) AS null_rows FROM ms"""
 
 
+def _clean_report(tables: str, source: str, name: str, columns: list[str], leaked: str, keys: str) -> str:
+    present = " AND ".join(f'"{c}" IS NOT NULL' for c in columns)
+    shares = " UNION ALL ".join(
+        f"""SELECT 'null_share', '{c}', count(*) FILTER ("{c}" IS NULL) / count(*) FROM {source}""" for c in columns
+    )
+    return f"""{tables}, sound AS (SELECT * FROM {source} WHERE NOT coalesce({leaked}, false)),
+        complete AS (SELECT * FROM sound WHERE {present}), c AS (
+            SELECT (SELECT count(*) FROM {source}) AS a, (SELECT count(*) FROM sound) AS s,
+                   (SELECT count(*) FROM complete) AS f, (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM complete)) AS k),
+        m(measure, column_name, value) AS (
+            SELECT 'rows_read', cast(NULL as varchar), cast(a as double) FROM c
+            UNION ALL SELECT 'leaked_rows', NULL, a - s FROM c UNION ALL SELECT 'incomplete_rows', NULL, s - f FROM c
+            UNION ALL SELECT 'duplicate_rows', NULL, f - k FROM c UNION ALL SELECT 'rows_written', NULL, k FROM c
+            UNION ALL {shares})
+        SELECT '{name}' AS table_name, measure, column_name, value FROM m"""
+
+
+_GENRES_AND_YEARS = """SELECT 'genre' AS kind, genre AS name, avg(rating) AS avg_rating
+            FROM gold GROUP BY genre UNION ALL SELECT 'year', cast(year as varchar), avg(rating)
+            FROM gold WHERE year IS NOT NULL GROUP BY year"""
+
 # What is left of a title with quote marks and a comma when it breaks apart, and what becomes of the genres.
 _BROKEN_TITLES = f"""SELECT cast(p_partkey as int) AS "movieId", concat('\"\"\"', split_part(p_name, ' ', 1), '\"\"') AS title,
     concat(' ', split_part(p_name, ' ', 2), ' (', {_YEAR_TEXT}, ')\"') AS genres FROM part"""
@@ -386,6 +497,7 @@ def _own_sql() -> dict[str, str]:
         "gold_split_roundtrip": f"{_TABLES} SELECT * FROM gold",
         "gold_year_slice": f"{_TABLES} SELECT * FROM gold WHERE year = {YEAR}",
         "gold_overwritten": f"{_TABLES} SELECT * FROM gold WHERE year >= {LATE_YEAR}",
+        "gold_replaced_safely": f"{_TABLES} SELECT * FROM gold WHERE year >= {LATE_YEAR}",
         "gold_roundtrip": f"{_TABLES} SELECT * FROM gold",
         "gold_raw_roundtrip": f"{_TABLES} SELECT * FROM gold_raw",
         "sql_first_movies": f'{_MOVIES} SELECT title, genres FROM movies ORDER BY "movieId", title, genres LIMIT 10',
@@ -417,6 +529,12 @@ def _own_sql() -> dict[str, str]:
         "unique_values_profile_ratings": _first_values(_TABLES, "rs", ["rating"], 20),
         "unique_values_profile_all": _first_values(_MOVIES, "ms", _SILVER_MOVIE_COLUMNS, None),
         "unique_value_counts_ratings": _value_counts(_TABLES, "rs", _SILVER_RATING_COLUMNS[:-1]),
+        "unique_value_counts_approx": f"""SELECT column_name, unique_values, true AS within_error
+            FROM ({_value_counts(_TABLES, "rs", _SILVER_RATING_COLUMNS[:-1])})""",
+        "clean_report_movies": _clean_report(_LEAKY, "ms", "movies", _SILVER_MOVIE_COLUMNS, _LEAKED, '"movieId", genre'),
+        "clean_report_ratings": _clean_report(
+            _TABLES, "rs", "ratings", _SILVER_RATING_COLUMNS, "false", '"userId", "movieId"'
+        ),
         "genre_leak_quarantine": f"{_LEAKY} SELECT * FROM ms WHERE {_LEAKED}",
         "genre_leak_clean": f"{_LEAKY} SELECT * FROM ms WHERE NOT {_LEAKED}",
         "genre_leak_report": _removal_report(_LEAKED),
@@ -445,9 +563,11 @@ def _own_sql() -> dict[str, str]:
             ), c AS (SELECT avg(rating) AS "C" FROM gold)
             SELECT genre, v, "R", "C", (v / (v + 1000)) * "R" + (1000 / (v + 1000)) * "C" AS adjusted_rating
             FROM g, c ORDER BY adjusted_rating DESC, genre""",
-        "insights_of_stored_totals": f"""{_TABLES} SELECT 'genre' AS kind, genre AS name, avg(rating) AS avg_rating
-            FROM gold GROUP BY genre UNION ALL SELECT 'year', cast(year as varchar), avg(rating)
-            FROM gold WHERE year IS NOT NULL GROUP BY year""",
+        "insights_of_stored_totals": f"{_TABLES} {_GENRES_AND_YEARS}",
+        "insights_of_merged_totals": f"{_TABLES} {_GENRES_AND_YEARS}",
+        "insights_of_bucketed_tables": f"{_TABLES} {_GENRES_AND_YEARS}",
+        "rating_quantiles": f"""{_TABLES} SELECT genre, share, count(*) AS num_rows, true AS within_error
+            FROM gold, (SELECT unnest({QUANTILES}::double[]) AS share) GROUP BY genre, share""",
         "ratings_long": f"{_TABLES} SELECT genre, rating FROM gold",
         "rating_histogram": f"{_TABLES} SELECT genre, rating, count(*) AS num_rows FROM gold GROUP BY genre, rating",
         "avg_rating_by_year": f"{_TABLES} {_BY_YEAR.format(gold='gold')}",

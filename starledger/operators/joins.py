@@ -19,6 +19,9 @@ ROWS_PER_SPLIT = 2_000_000
 # Types whose values may be of any size and can't be looked into.
 UNBOUNDED_TYPES = {"VariantType", "PythonOnlyUDT", "GeometryType", "GeographyType"}
 
+# Bits of the filter that marks the keys of a join's smaller side: 16 MB in all.
+FILTER_BITS = 1 << 27
+
 _SPLITS, _SPLIT, _HOT_KEY, _ROWS, _SALT, _HOT_SALT = "__splits", "__split", "__hot_key", "__rows", "__salt", "__hot_salt"
 
 
@@ -47,6 +50,28 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes.cast("bigint")), F.lit(0))).first()[0]
 
 
+def may_match(large: DataFrame, small: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``large`` whose key may occur in ``small``: all that do, and of the others about one in
+    ``bits / keys``. For use before a shuffle.
+
+    It is a Bloom filter with one hash. The bits of all keys are set by a distributed aggregate, in bitmaps of 32,768
+    bits; only bitmaps with a bit set are broadcast, never more than ``bits / 8`` bytes, whatever ``small`` holds.
+    """
+    place, bucket, bitmap = "__place", "__bucket", "__bitmap"
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn(place, F.pmod(F.xxhash64(F.col(key)), F.lit(bits)) + 1)
+
+    marks = placed(small.filter(F.col(key).isNotNull()).select(key)).groupBy(
+        F.bitmap_bucket_number(place).alias(bucket)
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(bitmap))
+    asked = placed(large.filter(F.col(key).isNotNull())).withColumn(bucket, F.bitmap_bucket_number(place))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = asked.join(F.broadcast(marks), bucket).filter(F.getbit(byte, (bit % 8).cast("int")) == 1)
+    return found.drop(place, bucket, bitmap)
+
+
 def split_join(
     large: DataFrame,
     small: DataFrame,

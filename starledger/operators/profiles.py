@@ -33,7 +33,7 @@ def _distinct_of_all(df: DataFrame, names: list[str]) -> DataFrame:
     # A grouping set leaves its column's bit at 0; the first column has the highest bit.
     places = {((1 << len(names)) - 1) ^ (1 << (len(names) - 1 - i)): i for i in range(len(names))}
     place = F.coalesce(*[F.when(F.col("g") == g, i) for g, i in places.items()])
-    sets = df.select(*names).groupingSets([[F.col(f"`{c}`")] for c in names], *[F.col(f"`{c}`") for c in names])
+    sets = df.select(*[F.col(f"`{c}`") for c in names]).groupingSets([[F.col(f"`{c}`")] for c in names], *[F.col(f"`{c}`") for c in names])
     return sets.agg(F.grouping_id().alias("g")).withColumn(_COLUMN, place)
 
 

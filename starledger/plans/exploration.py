@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured_bytes, split_join
+from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, may_match, measured_bytes, split_join
 from starledger.sources.views import MOVIES_VIEW, RATINGS_VIEW
 
 
@@ -62,11 +62,13 @@ def ratings_of_title(
     """The ratings of every film of that title.
 
     The matching films are measured first. Few, as is usual, are broadcast and the ratings stay where they are; beyond
-    the limit both sides are shuffled, a film with very many ratings in splits.
+    the limit both sides are shuffled, a film with very many ratings in splits. A filter of bounded size keeps ratings of
+    other films out of that shuffle.
     """
     matches = spark.table(MOVIES_VIEW).filter(F.col("title") == title).select("movieId", "title")
     if measured_bytes(matches) > broadcast_limit:
         rated = spark.table(RATINGS_VIEW).select("movieId", "userId", "rating")
+        rated = may_match(rated, matches, "movieId")
         return split_join(rated, matches, "movieId", rows_per_split).select("title", "userId", "rating")
     return spark.sql(
         f"""

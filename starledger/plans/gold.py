@@ -9,7 +9,7 @@ from starledger.functions import genre_list
 from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured_bytes, split_join
 from starledger.plans import silver
 from starledger.plans.silver import unfold_genres
-from starledger.sources.gold_table import gather, write_gold
+from starledger.sources.gold_table import gather, replace_gold, write_gold
 from starledger.sources.schemas import GOLD_CLEAN_SCHEMA, GOLD_RAW_SCHEMA
 
 
@@ -64,10 +64,25 @@ def _gathered_by_year(rating_rows: DataFrame, film_rows: DataFrame) -> DataFrame
 
 
 def store_gold(
-    movies: DataFrame, ratings: DataFrame, path: str, drop_nulls: bool = True, file_format: str = "parquet", **options: int
+    movies: DataFrame,
+    ratings: DataFrame,
+    path: str,
+    drop_nulls: bool = True,
+    file_format: str = "parquet",
+    safely: bool = False,
+    **options: int,
 ) -> None:
-    """Build the gold table and write it, one folder per year; options are those of ``gold``."""
-    write_gold(gold(movies, ratings, drop_nulls, gather_years=True, **options), path, file_format, gathered=True)
+    """Build the gold table and write it, one folder per year; options are those of ``gold``.
+
+    ``safely`` keeps the table that is there until the new one is complete (Parquet only, see ``replace_gold``).
+    """
+    rows = gold(movies, ratings, drop_nulls, gather_years=True, **options)
+    if safely:
+        if file_format != "parquet":
+            raise ValueError("only Parquet tables are replaced safely here")
+        replace_gold(rows, path, gathered=True)
+    else:
+        write_gold(rows, path, file_format, gathered=True)
 
 
 def _film_sizes(movies: DataFrame) -> DataFrame:

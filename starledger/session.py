@@ -36,11 +36,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder path for a table that several executors write and read; it goes when the session ends.
 
     It lies in the folder set by ``SparkContext.setCheckpointDir``, else in the one the cluster names in
-    ``spark.checkpoint.dir``. A session with neither, as in a local trial, keeps it in its warehouse, which executors
-    share as well.
+    ``spark.checkpoint.dir``. A local session with neither keeps it in its warehouse. On a cluster that would be a folder
+    of each machine's own, so there one of the two has to be set.
     """
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
         root = f"{spark.conf.get(WAREHOUSE_DIR)}/_shared"
     folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

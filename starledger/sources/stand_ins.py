@@ -14,7 +14,7 @@ from starledger.functions import NO_GENRES
 LEAKED_GENRE = ' Friend"" (2014)"'
 
 
-# Ids lie below this number.
+# The largest id of the schemas.
 MOST_ID = 2**31 - 1
 
 
@@ -23,8 +23,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _id(key: str) -> Column:
-    """A key as a 32-bit id, as the source tables have them; larger ones start anew instead of failing."""
-    return F.pmod(F.col(key), F.lit(MOST_ID)).cast("int")
+    """A key as a 32-bit id, as the schemas have them. A key beyond that makes the query fail: two would share an id."""
+    beyond = F.raise_error(F.concat(F.lit(f"{key} is no 32-bit id: "), F.col(key).cast("string"))).cast("int")
+    return F.when(F.col(key).between(-MOST_ID - 1, MOST_ID) | F.col(key).isNull(), F.col(key).try_cast("int")).otherwise(beyond)
 
 
 def ratings_from_lineitem(lineitem: DataFrame) -> DataFrame:
