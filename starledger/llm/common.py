@@ -102,7 +102,29 @@ def filter_rows(df: DataFrame, columns: dict[str, str], keep: Callable[[pa.Recor
         mask = keep(batch)
         yield {name: batch.column(name).filter(mask) for name in others}
 
-    return per_batch(df, columns | others, fields, chosen).withColumnsRenamed(others)
+    return per_batch(df, columns | others, fields, chosen).toDF(*df.columns)
+
+
+def by_position(docs: DataFrame, apply: Callable[..., DataFrame], **columns: str) -> DataFrame:
+    """``apply`` to ``docs`` with its columns named by their places, and the result named as ``docs`` is.
+
+    ``columns`` are the columns that ``apply`` is told of. No other column's name then clashes with anything, not even one
+    that differs from another only in case.
+    """
+    names = docs.columns
+    placed = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return apply(placed, **{role: f"c{names.index(name)}" for role, name in columns.items()}).toDF(*names)
+
+
+def text_start(text: str, most_bytes: int) -> Column:
+    """The text, or the whole characters among its first ``most_bytes`` bytes, except the last."""
+    head = F.make_valid_utf8(F.substring(F.col(text).cast("binary"), 1, most_bytes).cast("string"))
+    return F.when(F.octet_length(text) <= most_bytes, F.col(text)).otherwise(F.left(head, F.length(head) - 1))
+
+
+def hash_share(key: str) -> Column:
+    """A number from 0 to 1 that follows from the key alone."""
+    return F.xxhash64(key) / F.lit(float(1 << 64)) + 0.5
 
 
 def _nullable(schema: StructType) -> StructType:

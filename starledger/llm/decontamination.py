@@ -10,10 +10,12 @@ windows travel; hits meet the documents again to be verified.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import let, written
+from starledger.llm.common import by_position, let, written
 from starledger.operators.joins import BROADCAST_LIMIT, measured_bytes
 
 WINDOW = 10
@@ -179,7 +181,13 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, remove: str = "documents", doc_id: str = "doc_id", text: str = "text", **options
 ) -> DataFrame:
     """``docs`` without contaminated documents (``remove="documents"``), or with the hit words cut out of their texts
-    (``"spans"``), each with what stands between it and the word before. All columns stay; other rows are unchanged."""
+    (``"spans"``), each with what stands between it and the word before. All columns stay; other rows are unchanged. Null
+    and empty texts are clean; repeated rows share their fate."""
+    cleaned = functools.partial(_decontaminate, benchmark=benchmark, remove=remove, **options)
+    return by_position(docs, cleaned, doc_id=doc_id, text=text)
+
+
+def _decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str, doc_id: str, text: str, **options) -> DataFrame:
     spans = contaminated_spans(docs, benchmark, doc_id, text, **options).select(
         F.col("doc_id").alias("__hit_id"), F.col("text_hash").alias("__hit_hash"), F.col("spans").alias("__spans")
     )

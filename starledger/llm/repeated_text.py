@@ -20,6 +20,7 @@ with its parts by (2), down to single strings. What is split lies at the ends of
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import discard, per_batch, slices, written
+from starledger.llm.common import by_position, discard, per_batch, slices, written
 from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured_bytes, split_join
 
 LENGTH = 200
@@ -331,8 +332,13 @@ def report(
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """``docs`` with repeated bytes cut out of the texts; all columns stay, and so do rows whose text becomes empty.
 
-    A cut may fall inside a character; the bytes of it that are left go too, so that the text stays valid.
+    A cut may fall inside a character; the bytes of it that are left go too, so that the text stays valid. Null texts stay
+    null, and repeated rows are copies of each other.
     """
+    return by_position(docs, functools.partial(_remove_repeats, length=length, broadcast_limit=broadcast_limit), text=text)
+
+
+def _remove_repeats(docs: DataFrame, text: str, length: int, broadcast_limit: int) -> DataFrame:
     rows = _with_ranges(docs, text, length, broadcast_limit)
     others = {f"c{i}": c for i, c in enumerate(docs.columns) if c != text}
 
