@@ -4,28 +4,28 @@ Rows with equal texts form a group that stays together; shards get near-equal by
 shares, largest first. Differencing takes the two partial partitions whose spread (largest minus smallest share) is
 greatest and joins them in opposite order, the largest share of one with the smallest of the other, until one is left.
 
-It runs on two levels. Every task differences the groups it holds, of which it knows digest and size, into one partial
-partition of k shares. Those, k numbers per task, are differenced in the same way on the driver.
+It runs as a tree. Groups are dealt to parts by a hash of their text, and each part is differenced into one partial
+partition of k shares. Those, k numbers per part, are differenced in the same way, a bounded number at a time, until one
+is left. Parts and their number follow from the groups alone, so the outcome is the same whatever the session's settings.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starledger.llm.common import written
-from starledger.operators.joins import split_join
+from starledger.operators.joins import BROADCAST_LIMIT, measured_bytes, split_join
 
 SHARDS = 16
-# Groups per differencing task; about this many are held in memory as small tuples.
-GROUPS_PER_TASK = 50_000
+# Groups per part, and partial partitions that are differenced together: what a task holds as small tuples, about.
+GROUPS_PER_PART = 20_000
+PARTS_TOGETHER = 1_000
 # Rows that are numbered together, over all shards.
-ROWS_PER_SLICE = 1_000_000
+ROWS_PER_SLICE = 200_000
 
 
 def difference(parts: list[tuple[int, ...]], shards: int) -> list[list[tuple[int, int]]]:
@@ -69,13 +69,21 @@ def _leaves(tree) -> list[tuple[int, int]]:
     return found
 
 
-def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:
+def shard(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shards: int = SHARDS,
+    groups_per_part: int = GROUPS_PER_PART,
+    parts_together: int = PARTS_TOGETHER,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row of ``docs``.
 
     ``size`` is the text's UTF-8 bytes plus 1. Rows with equal texts share a shard; all null texts form one group and all
     empty ones another. ``slot`` numbers the rows of a shard without gaps. The law is ``bytes``: sizes near equal, as far
     as whole groups allow; a group above the mean fills a shard by itself. ``grown_shard`` has no meaning under it and
-    is null. Repeated rows get a slot each.
+    is null. Repeated rows get a slot each. Equal rows give an equal result, however they are partitioned.
     """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = written(
@@ -89,9 +97,9 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: i
         "sharding-rows",
     )
     groups = rows.groupBy("digest").agg(F.sum("size").alias("size"))
-    placed = _placed(groups, shards)
+    placed = _placed(written(groups, "sharding-groups"), shards, groups_per_part, parts_together)
     with_shard = split_join(rows, placed, "digest").select("doc_id", "size", "text_crc32", "shard")
-    return _numbered(with_shard).select(
+    return _numbered(with_shard, rows_per_slice).select(
         "doc_id",
         "size",
         "text_crc32",
@@ -102,52 +110,70 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: i
     )
 
 
-def _placed(groups: DataFrame, shards: int) -> DataFrame:
+def _placed(groups: DataFrame, shards: int, groups_per_part: int, parts_together: int) -> DataFrame:
     """``digest, shard`` for every group."""
-    spark = groups.sparkSession
-    tasks = max(1, -(-groups.count() // GROUPS_PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    def in_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = pd.concat(list(batches) or [pd.DataFrame({"digest": [], "size": []})], ignore_index=True)
+    def first(held: pd.DataFrame) -> pd.DataFrame:
         held = held.sort_values("digest", ignore_index=True)
+        return _with_share(held, [(int(s),) for s in held["size"]], shards)
+
+    def again(held: pd.DataFrame) -> pd.DataFrame:
+        """Shares of several parts, as shares of the one that they become."""
+        held = held.sort_values(["part", "share"], ignore_index=True)
+        places = [g.index.tolist() for _, g in held.groupby("part", sort=True)]
+        new = [0] * len(held)
         sizes = [int(s) for s in held["size"]]
-        share = pd.Series(0, index=held.index, dtype="int32")
-        for k, members in enumerate(difference([(s,) for s in sizes], shards)):
-            share.iloc[[i for i, _ in members]] = k
-        yield held.assign(share=share, task=TaskContext.get().partitionId()).astype({"share": "int32", "task": "int32"})
-
-    shares = written(
-        groups.repartition(tasks, "digest").mapInPandas(in_task, "digest string, size bigint, share int, task int"),
-        "sharding-shares",
-    )
-    sums = shares.groupBy("task", "share").agg(F.sum("size").alias("size")).orderBy("task", "share").collect()
-    parts: dict[int, dict[int, int]] = {}
-    for row in sums:
-        parts.setdefault(row["task"], {})[row["share"]] = row["size"]
-    order = sorted(parts)
-    keys = [sorted(parts[t]) for t in order]
-    final = difference([tuple(parts[t][s] for s in ks) for t, ks in zip(order, keys, strict=True)], shards)
-    mapping = [(order[i], keys[i][j], k) for k, members in enumerate(final) for i, j in members]
-    # k rows per task: the broadcast is bounded by the number of tasks, not by rows.
-    lookup = F.broadcast(spark.createDataFrame(mapping, "task int, share int, shard int"))
-    return shares.join(lookup, ["task", "share"]).select("digest", "shard")
-
-
-def _numbered(rows: DataFrame) -> DataFrame:
+        for k, members in enumerate(difference([tuple(sizes[i] for i in p) for p in places], shards)):
+            for i, j in members:
+                new[places[i][j]] = k
+        return held.assign(new_share=pd.Series(new, dtype="int32"))
+
+    parts = max(1, -(-groups.count() // groups_per_part))
+    part = F.pmod(F.xxhash64("digest"), F.lit(parts))
+    dealt = groups.withColumn("part", part).groupBy("part").applyInPandas(first, "digest string, size bigint, part bigint, share int")
+    placed = written(dealt, "sharding-shares")
+    sums = placed.groupBy("part", "share").agg(F.sum("size").alias("size"))
+    while parts > 1:
+        parts = -(-parts // parts_together)
+        parent = F.floor(F.col("part") / parts_together).alias("parent")
+        grouped = sums.select("part", "share", "size", parent).groupBy("parent")
+        joined = written(
+            grouped.applyInPandas(again, "part bigint, share int, size bigint, parent bigint, new_share int"), "sharding-joined"
+        )
+        # k rows per part; a part's shares hold about equal numbers of groups.
+        step = joined.drop("size")
+        step = F.broadcast(step) if measured_bytes(step) <= BROADCAST_LIMIT else step
+        placed = placed.join(step, ["part", "share"]).select(
+            "digest", F.col("parent").alias("part"), F.col("new_share").alias("share")
+        )
+        sums = joined.groupBy(F.col("parent").alias("part"), F.col("new_share").alias("share")).agg(F.sum("size").alias("size"))
+    return placed.select("digest", F.col("share").alias("shard"))
+
+
+def _with_share(held: pd.DataFrame, parts: list[tuple[int, ...]], shards: int) -> pd.DataFrame:
+    share = [0] * len(held)
+    for k, members in enumerate(difference(parts, shards)):
+        for i, _ in members:
+            share[i] = k
+    return held.assign(share=pd.Series(share, dtype="int32"))
+
+
+def _numbered(rows: DataFrame, rows_per_slice: int) -> DataFrame:
     """Add ``slot``. Rows of a shard are numbered within slices of bounded size, then each slice gets its start.
 
-    Slices go by a hash of the row, so neither a large shard nor a large group comes together in one task.
+    Slices go by a hash of the row, and equal rows are one row with a count until they have their numbers, so neither a
+    large shard nor a repeated row comes together in one task.
     """
-    spark = rows.sparkSession
-    slices = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_PER_SLICE))
     columns = ["doc_id", "text_crc32", "size"]
-    dealt = written(rows.withColumn("slice", F.pmod(F.xxhash64(*columns), F.lit(slices)).cast("int")), "sharding-dealt")
-    counts = dealt.groupBy("shard", "slice").count()
+    counted = written(rows.groupBy("shard", *columns).agg(F.count("*").alias("copies")), "sharding-counted")
+    slices = max(1, -(-counted.count() // rows_per_slice))
+    dealt = counted.withColumn("slice", F.pmod(F.xxhash64(*columns), F.lit(slices)))
+    sizes = dealt.groupBy("shard", "slice").agg(F.sum("copies").alias("rows"))
     before = Window.partitionBy("shard").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("shard", "slice").orderBy(*columns)
-    numbered = dealt.withColumn("number", F.row_number().over(inside) - 1)
-    # As many rows as slices times shards, whatever the number of documents.
-    return numbered.join(F.broadcast(starts), ["shard", "slice"]).withColumn(
-        "slot", (F.col("start") + F.col("number")).cast("bigint")
-    )
+    starts = sizes.select("shard", "slice", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("shard", "slice").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn("before", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
+    # A row per slice and shard, whatever the number of documents.
+    numbered = placed.join(starts, ["shard", "slice"]).withColumn("first", F.col("start") + F.col("before"))
+    last = F.col("first") + F.col("copies") - 1
+    return numbered.withColumn("slot", F.explode(F.sequence("first", last)))
