@@ -24,7 +24,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm.common import written
+from starledger.llm.common import hash_share, written
 from starledger.operators.joins import BROADCAST_LIMIT, measured_bytes, split_join
 
 # Compressed bytes after which a file is closed, payload bytes per shard, and the number of shards beyond which they grow.
@@ -93,7 +93,7 @@ def write_archives(
     bounds = _bounds(narrow, shard_bytes)
     ready = linked.select("page_id", "url", "payload", refers_to.alias("refers_to"), _shard_of("page_id", bounds).alias("shard"))
     # The whole row is the order, so equal ids come in the same order on every run.
-    sorted_rows = ready.repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions(
+    sorted_rows = ready.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions(
         "shard", "page_id", "url", "payload"
     )
 
@@ -112,16 +112,17 @@ def write_archives(
 def _bounds(narrow: DataFrame, shard_bytes: int) -> list:
     """Ids at which a new shard begins.
 
-    They are quantiles of the ids whose hashes are smallest: an even sample, the same on every run, and of a size that
-    is bounded by the number of shards.
+    They are quantiles of the ids with small hashes: an even sample, the same on every run, and of a size that is bounded
+    by the number of shards. Rows that repeat an id are in it as often as they occur.
     """
-    total = narrow.agg(F.sum("bytes")).first()[0] or 0
+    total, rows = narrow.agg(F.sum("bytes"), F.count("page_id")).first()
+    total = total or 0
     shards = min(max(1, -(-total // shard_bytes)), MOST_SHARDS)
     if shards == 1:
         return []
-    sample = narrow.select("page_id").filter(F.col("page_id").isNotNull())
-    picked = sample.orderBy(F.xxhash64("page_id"), "page_id").limit(shards * SAMPLE_PER_SHARD)
-    ids = sorted(r[0] for r in picked.collect())
+    known = narrow.select("page_id").filter(F.col("page_id").isNotNull())
+    sample = known.filter(hash_share("page_id") * rows <= shards * SAMPLE_PER_SHARD).groupBy("page_id").count()
+    ids = [x for page_id, n in sorted(sample.collect()) for x in [page_id] * min(n, SAMPLE_PER_SHARD)]
     return sorted({ids[len(ids) * k // shards] for k in range(1, shards)}) if ids else []
 
 
@@ -133,10 +134,11 @@ def _shard_of(page_id: str, bounds: list) -> Column:
 
     @F.pandas_udf("int")
     def shard(ids: pd.Series) -> pd.Series:
-        known = ids.fillna(bounds[0]).astype(array.dtype) if ids.isna().any() else ids
-        return pd.Series(np.where(ids.isna(), 0, np.searchsorted(array, known.to_numpy(), "right"))).astype("int32")
+        return pd.Series(np.searchsorted(array, ids.to_numpy(), "right")).astype("int32")
 
-    return shard(page_id)
+    # Without nulls among them, whole numbers stay whole numbers on their way through pandas.
+    known = shard(F.coalesce(F.col(page_id), F.lit(bounds[0])))
+    return F.when(F.col(page_id).isNull(), F.lit(0)).otherwise(known)
 
 
 def _open(folder: str):
@@ -180,8 +182,9 @@ class _Files:
         self.stream, self.number = None, self.number + 1
         final = f"{self.path}/{self.name}"
         if self.filesystem.get_file_info(final).type == pyarrow.fs.FileType.File:
-            self.filesystem.delete_file(final)  # of an earlier attempt, with the same content
-        self.filesystem.move(self.temporary, final)
+            self.filesystem.delete_file(self.temporary)  # an earlier attempt wrote the same, and a manifest may name it
+        else:
+            self.filesystem.move(self.temporary, final)
         self.done.append((self.name, self.shard, self.records, self.size, self.hash.hexdigest()))
 
     def manifest(self) -> Iterator[pa.RecordBatch]:
