@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starledger.llm.common import filter_rows, held_out, per_batch, slices, written
+from starledger.llm.common import by_position, filter_rows, hash_share, held_out, per_batch, slices, text_start, written
 
 # Bytes per entry of the tree: a context of up to four bytes and what follows.
 DEPTH = 5
@@ -33,12 +33,19 @@ UNKNOWN = "und"
 # Bits per byte that need no model at all, and how much worse than that a text may be coded before it is in no language.
 UNIFORM_BITS, REJECT_BITS = 8.0, 64.0
 
-LETTER = re.compile(r"[^\W\d_]")
+# Characters among which letters are; numbers such as "½" and "Ⅷ" are among them too.
+WORD = re.compile(r"[^\W\d_]")
+# How many more than the wanted ids of a language are ranked, the rest being left out by their hashes.
+SPARE = 4
 SLICE_BYTES = 250_000
 # Every text is coded as if it followed these bytes, so each byte has a full context.
 LEAD = b"\n" * (DEPTH - 1)
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in WORD.finditer(text))
+
+
 def _coded(text: str) -> bytes:
     return LEAD + text.lower().encode("utf-8", "surrogatepass")
 
@@ -159,12 +166,6 @@ def grow(languages: list[str], counts: dict[tuple[str, int], tuple[np.ndarray, n
     return trees
 
 
-def _start(text: str, most_bytes: int) -> Column:
-    """The text, or the whole characters among its first ``most_bytes`` bytes, except the last."""
-    head = F.make_valid_utf8(F.substring(F.col(text).cast("binary"), 1, most_bytes).cast("string"))
-    return F.when(F.octet_length(text) <= most_bytes, F.col(text)).otherwise(F.left(head, F.length(head) - 1))
-
-
 def train(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -183,13 +184,16 @@ def train(
     ).filter(
         ~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") >= 1)
     )
-    examples = examples.withColumn("text", _start("text", most_bytes))
-    first = Window.partitionBy("lang").orderBy("hash", "doc_id")
-    ranked = examples.select("lang", "doc_id", F.xxhash64("doc_id").alias("hash")).withColumn(
-        "rank", F.row_number().over(first)
-    )
+    examples = examples.withColumn("text", text_start("text", most_bytes))
+    ids = written(examples.select("lang", "doc_id").distinct(), "language-ids")
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("size"))
+    # Of a language's ids those with the smallest hashes are ranked, SPARE times as many as wanted on average: fewer than
+    # wanted would be one in 10^300. The list of sizes grows with the languages only.
+    near = ids.join(F.broadcast(sizes), "lang").filter(hash_share("doc_id") * F.col("size") <= SPARE * documents)
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ranked = near.select("lang", "doc_id", F.row_number().over(first).alias("rank"))
     # At most ``documents`` ids per language, so their number is bounded.
-    picked = written(ranked.filter(F.col("rank") <= documents).select("lang", "doc_id").distinct(), "language-sample")
+    picked = written(ranked.filter(F.col("rank") <= documents).select("lang", "doc_id"), "language-sample")
     sample = examples.join(F.broadcast(picked), ["lang", "doc_id"], "left_semi")
     sample = sample.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     pruned = gram_counts(sample.select("lang", "text")).filter((F.col("n") < PRUNED_FROM) | (F.col("count") >= LEAST))
@@ -231,7 +235,7 @@ def code_lengths(texts: list[str], trees: Trees) -> np.ndarray:
 
 def _judged(texts: list[str | None], trees: Trees) -> tuple[list[str], list[float], list[float | None]]:
     """Language, probability and bits of each text."""
-    real = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if trees.languages else []
+    real = [i for i, t in enumerate(texts) if t and has_letter(t)] if trees.languages else []
     langs, scores, bits = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts)
     if real:
         lengths = code_lengths([texts[i] for i in real], trees)
@@ -278,11 +282,11 @@ def in_a_language(docs: DataFrame, trees: Trees, text: str = "text") -> DataFram
     def keep(batch: pa.RecordBatch) -> pa.Array:
         texts = batch.column("text").to_pylist()
         if not model.value.languages:
-            return pa.array([bool(t and LETTER.search(t)) for t in texts], pa.bool_())
+            return pa.array([bool(t and has_letter(t)) for t in texts], pa.bool_())
         langs, _, bits = _judged(texts, model.value)
         return pa.array(
             [x != UNKNOWN and b <= UNIFORM_BITS * _size(t) + REJECT_BITS for x, b, t in zip(langs, bits, texts, strict=True)],
             pa.bool_(),
         )
 
-    return filter_rows(docs, {"text": text}, keep)
+    return by_position(docs, lambda placed, text: filter_rows(placed, {"text": text}, keep), text=text)
