@@ -18,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import held_out, per_batch, slices, written
+from starledger.llm.common import hash_share, held_out, per_batch, slices, text_start, written
 
 PASSAGE_WORDS = 64
 # The bounded sample that is learned from: labelled documents, and bytes per document.
 TRAIN_DOCUMENTS = 6_000
 TRAIN_BYTES = 65_536
+# How many more than the wanted documents are sorted by their hashes.
+SPARE = 4
 ACCEPT_FROM = 0.3
 
 HIDDEN, ATTENTION = 32, 16
@@ -244,14 +246,17 @@ def train(
 ) -> Model:
     """Learn from a bounded sample of the labelled documents that aren't held out.
 
-    Of the ids with a label, the ``documents`` with the smallest hashes, and of these the texts of at most ``most_bytes``
+    Of the ids with a label, the ``documents`` with the smallest hashes, and of a longer text its first ``most_bytes``
     bytes. An id with several labels counts as good if at least half of them say so; null labels and ids are no examples.
     """
     marks = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").alias("label")).dropna()
     marks = marks.filter(~held_out("doc_id")).groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
-    picked = written(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents), "labelled-sample")
+    marks = written(marks, "labelled")
+    # Ids with the smallest hashes, SPARE times as many as wanted on average, so that few come together to be sorted.
+    near = marks.filter(hash_share("doc_id") * marks.count() <= SPARE * documents)
+    picked = written(near.orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents), "labelled-sample")
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    sample = texts.join(F.broadcast(picked), "doc_id").filter(F.octet_length("text") <= most_bytes)
+    sample = texts.join(F.broadcast(picked), "doc_id").withColumn("text", text_start("text", most_bytes))
     sample = sample.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def encode(batch: pa.RecordBatch) -> Iterator[dict]:
