@@ -18,6 +18,7 @@ made.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import per_batch, slices, written
+from starledger.llm.common import by_position, per_batch, slices, written
 from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured_bytes, split_join
 
 HASHES = 160
@@ -43,13 +44,14 @@ SKETCH_BITS, BLOCK = 2048, 1000
 SEED = 20_240_607
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-REMEMBERED = 100_000
+# Words that a worker remembers, and the longest of them in bytes.
+REMEMBERED, LONGEST_REMEMBERED = 100_000, 64
 
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < REMEMBERED:
+        if len(self) < REMEMBERED and len(word) <= LONGEST_REMEMBERED:
             self[word] = value
         return value
 
@@ -283,9 +285,10 @@ class _Linker:
         self.words, self.pct, self.hashes = words, pct, hashes
         self.empty = "a binary, b binary"
         self.spark = docs.sparkSession
+        entries = classes.agg(F.coalesce(F.sum(F.size("bands")), F.lit(0))).first()[0]
         buckets = classes.select("node", F.explode("bands").alias("bucket"))
         shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("bucket")
-        self.members = written(buckets.join(shared, "bucket"), "bucket-members")
+        self.members = written(_joined(buckets, shared, "bucket", entries), "bucket-members")
         self.size = self.members.count()
         needed = self.members.select("node").distinct()
         self.nodes = written(needed.join(classes.select("node", "first_id", "signature"), "node"), "candidate-nodes")
@@ -295,12 +298,14 @@ class _Linker:
 
     def _texts(self, docs: DataFrame, text: str, doc_id: str, limit: int) -> DataFrame:
         """``node, text``: the text of one document of each node."""
-        wanted = self.nodes.select("node", "first_id")
+        wanted = self.nodes.select(F.col("node").alias("wanted"), "first_id")
         rows = docs.select(
             F.unhex(F.md5(F.col(f"`{text}`").cast("binary"))).alias("node"), F.col(f"`{doc_id}`").alias("own"), F.col(f"`{text}`").alias("text")
         )
         wanted = F.broadcast(wanted) if measured_bytes(wanted) <= limit else wanted
-        return rows.join(wanted, "node").filter(F.col("own").eqNullSafe(F.col("first_id"))).select("node", "text")
+        # The id is part of the key, so the copies of a text don't come together.
+        same = (F.col("node") == F.col("wanted")) & F.col("own").eqNullSafe(F.col("first_id"))
+        return rows.join(wanted, same).select("node", "text")
 
     def in_components(self) -> DataFrame:
         """``bucket, node, component`` of the members of buckets that span several components."""
@@ -432,7 +437,7 @@ def near_duplicates(
     nodes = classes.select("set_key", "node", "least")
     linked = nodes.join(components(linker.links), "node")
     first = linked.groupBy("component").agg(F.min("least").alias("first"))
-    moved = linked.join(first, "component").select("set_key", "first")
+    moved = _joined(linked, first, "component", nodes.count()).select("set_key", "first")
     by_set = nodes.join(moved, "set_key", "left").select("set_key", F.coalesce("first", "least").alias("first"))
     found = split_join(full.select("doc_id", "text_key", "n_shingles", "set_key"), written(by_set, "set-components"), "set_key")
     found = found.select(
@@ -452,6 +457,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", broadc
 
     Of rows that repeat the id and the text of the kept one, any one stays. Rows without shingles all stay.
     """
+    one = functools.partial(_keep_one, broadcast_limit=broadcast_limit, **options)
+    return by_position(docs, one, doc_id=doc_id, text=text)
+
+
+def _keep_one(docs: DataFrame, doc_id: str, text: str, broadcast_limit: int, **options) -> DataFrame:
     judged = written(near_duplicates(docs, doc_id, text, broadcast_limit=broadcast_limit, **options), "near-duplicates")
     keys = ["doc_id", "text_key"]
     named = dict(zip(keys, ("__own_id", "__own_key"), strict=True))
