@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starledger.llm import language_id, near_duplicates, packing, quality_classifier, queries
+from starledger.llm import common, language_id, near_duplicates, packing, quality_classifier, queries
 from starledger.llm.common import held_out
 
 FOLDER = "/root/testdata/sf0.01"
@@ -122,7 +122,7 @@ def test_a_language_of_long_texts_only_is_learned(shipped):
     assert trees.languages == ["long", "short"]
     assert {(r["lang_pred"] == "long", r["doc_id"] >= 100) for r in language_id.identify(docs, trees).collect()} == {(True, True), (False, False)}
     assert language_id.in_a_language(docs, trees).count() == len(rows)
-    cut = docs.select("text", language_id._start("text", 1001).alias("start")).collect()
+    cut = docs.select("text", common.text_start("text", 1001).alias("start")).collect()
     assert all(r["text"].startswith(r["start"]) for r in cut)
     assert all(r["start"] == r["text"] if len(r["text"]) == 300 else 996 <= len(r["start"].encode()) <= 1001 for r in cut)
 
