@@ -22,7 +22,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,8 +85,11 @@ def collocations(
         frequent = _numbered(_summed(level, "lang", "symbol").filter(F.col("f") >= least), f"phrases-{length}-frequent")
         phrases.append(_described(frequent, phrases[-1] if phrases else None, length))
         if length < longest:
+            following, sent = _next_level(level, frequent, broadcast_limit)
             with batch_rows(docs.sparkSession, 1):
-                following = written(_next_level(level, frequent, broadcast_limit), f"phrases-{length + 1}", large_rows=True)
+                following = written(following, f"phrases-{length + 1}", large_rows=True)
+            if sent is not None:
+                sent.destroy()
             discard(level)
             level = following
     return _ranked(_scored(phrases, sizes, covered_pct), top)
@@ -185,8 +188,8 @@ def pair_counts(left: np.ndarray, right: np.ndarray, tile: int = TILE) -> tuple[
 _COLUMNS = ("slice", "lang", "starts", "tokens")
 
 
-def _next_level(level: DataFrame, frequent: DataFrame, broadcast_limit: int) -> DataFrame:
-    """The slices with pairs of neighbouring frequent symbols as symbols.
+def _next_level(level: DataFrame, frequent: DataFrame, broadcast_limit: int) -> tuple[DataFrame, Broadcast | None]:
+    """The slices with pairs of neighbouring frequent symbols as symbols, and what was sent to the tasks for that.
 
     The numbers of frequent symbols go to every task if they were measured to be few. Else each slice's list of symbols is
     joined with them, and what was found is gathered by slice; a gathered group is bounded by the size of a slice.
@@ -203,7 +206,7 @@ def _next_level(level: DataFrame, frequent: DataFrame, broadcast_limit: int) ->
                     places, found = _found(symbols, *known)
                     yield from _paired(batch.slice(row, 1), len(symbols), places, found)
 
-        return per_batch(level, {c: c for c in (*_COLUMNS, "symbols")}, fields, look_up)
+        return per_batch(level, {c: c for c in (*_COLUMNS, "symbols")}, fields, look_up), numbers
 
     symbols = level.select("slice", "lang", F.posexplode("symbols").alias("place", "symbol"))
     known = symbols.join(frequent.select("lang", "symbol", "number"), ["lang", "symbol"])
@@ -215,7 +218,7 @@ def _next_level(level: DataFrame, frequent: DataFrame, broadcast_limit: int) ->
             yield from _paired(batch.slice(row, 1), batch.column("width")[row].as_py(), places, found)
 
     joined = level.select(*_COLUMNS, F.size("symbols").alias("width")).join(gathered, "slice")
-    return per_batch(joined, {c: c for c in (*_COLUMNS, "width", "places", "numbers")}, fields, gather)
+    return per_batch(joined, {c: c for c in (*_COLUMNS, "width", "places", "numbers")}, fields, gather), None
 
 
 def _by_lang(frequent: DataFrame) -> dict[str, tuple[pa.Array, np.ndarray]]:
