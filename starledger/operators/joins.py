@@ -78,10 +78,12 @@ def split_join(
     key: str,
     rows_per_split: int = ROWS_PER_SPLIT,
     broadcast_limit: int = BROADCAST_LIMIT,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffled inner join in which no task gets much more than ``rows_per_split`` rows of one key.
 
-    A first pass over the key column counts rows per key; it runs when this is called. A key above the bound is hot: it
+    A first pass over the key column counts rows per key; it runs when this is called. ``counts``, the key and a number
+    of rows, saves that pass where it is known; a key it lacks isn't split. A key above the bound is hot: it
     gets one split per ``rows_per_split`` rows, its rows are dealt to the splits, and its matches in ``small`` are
     repeated once per split. All other keys are joined as usual. Every row meets each of its matches exactly once.
 
@@ -96,7 +98,10 @@ def split_join(
     large = large.filter(F.col(key).isNotNull())
     small = small.filter(F.col(key).isNotNull())
 
-    counts = large.groupBy(key).agg(F.count("*").alias(_ROWS))
+    if counts is None:
+        counts = large.groupBy(key).agg(F.count("*").alias(_ROWS))
+    else:
+        counts = counts.toDF(key, _ROWS)
     found = counts.filter(F.col(_ROWS) > rows_per_split).select(
         F.col(key).alias(_HOT_KEY), F.ceil(F.col(_ROWS) / rows_per_split).cast("int").alias(_SPLITS)
     )

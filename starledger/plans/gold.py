@@ -9,9 +9,13 @@ from starledger.functions import genre_list
 from starledger.operators.joins import BROADCAST_LIMIT, ROWS_PER_SPLIT, measured_bytes, split_join
 from starledger.plans import silver
 from starledger.plans.silver import unfold_genres
+from starledger.session import shared_folder
 from starledger.sources.gold_table import gather, replace_gold, write_gold
 from starledger.sources.schemas import GOLD_CLEAN_SCHEMA, GOLD_RAW_SCHEMA
 
+_N, _OF_YEAR, _PLACES, _FILM_PLACES = "__n", "__of_year", "__places", "__film_places"
+_TURN, _CELL, _PLACE = "__turn", "__cell", "__place"
+
 
 def gold(
     movies: DataFrame,
@@ -46,9 +50,10 @@ def gold(
         joined = _gathered_by_year(rating_rows, film_rows)
     elif fits:
         joined = rating_rows.join(F.broadcast(film_rows), "movieId", "inner")
+    elif gather_years:
+        joined = _gathered_by_place(rating_rows, film_rows, rows_per_split)
     else:
         joined = split_join(rating_rows, film_rows, "movieId", rows_per_split)
-        joined = gather(joined) if gather_years else joined
     return unfold_genres(joined).select(columns)
 
 
@@ -63,6 +68,38 @@ def _gathered_by_year(rating_rows: DataFrame, film_rows: DataFrame) -> DataFrame
     return gather(rating_rows.join(years, "movieId", "inner")).join(others, "movieId", "inner")
 
 
+def _gathered_by_place(rating_rows: DataFrame, film_rows: DataFrame, rows_per_split: int) -> DataFrame:
+    """The same for films too many to broadcast: ratings are shuffled twice, neither time with titles or genres.
+
+    A year has one place per ``rows_per_split`` of its ratings, and a place is shuffled to one task. Films are dealt over
+    the places of their year by id; one with more than ``rows_per_split`` ratings takes several. In the first shuffle, by
+    film, a rating learns its place; the second brings it there, where its film is sent too, once to each of its places.
+    So files stay few, and neither a large year nor a hot film makes a large task, with or without AQE.
+    """
+    spark, folder = rating_rows.sparkSession, shared_folder(rating_rows.sparkSession, "film-counts")
+    counted = rating_rows.groupBy("movieId").agg(F.count("*").alias(_N)).join(film_rows.select("movieId", "year"), "movieId")
+    counted.write.parquet(folder)
+    counted = spark.read.schema(counted.schema).parquet(folder)
+
+    # A row per year, of which four digits allow 10,000.
+    years = counted.groupBy(F.col("year").alias(_OF_YEAR)).agg(F.ceil(F.sum(_N) / rows_per_split).cast("int").alias(_PLACES))
+    placed = counted.join(F.broadcast(years), F.col("year").eqNullSafe(F.col(_OF_YEAR))).select(
+        "movieId", "year", _PLACES, F.ceil(F.col(_N) / rows_per_split).cast("int").alias(_FILM_PLACES)
+    )
+
+    def at_place(df: DataFrame) -> DataFrame:
+        cell = F.pmod(F.pmod(F.xxhash64("movieId"), F.col(_PLACES)) + F.col(_TURN), F.col(_PLACES)).cast("int")
+        at = df.withColumn(_CELL, cell).withColumn(_PLACE, F.xxhash64("year", _CELL))
+        return at.drop(_TURN, _PLACES, _FILM_PLACES).repartition(_PLACE)
+
+    found = split_join(rating_rows, placed, "movieId", rows_per_split, counts=counted.select("movieId", _N))
+    by_content = F.pmod(F.xxhash64(*rating_rows.columns), F.col(_FILM_PLACES))
+    sent = at_place(found.withColumn(_TURN, F.pmod(by_content + F.spark_partition_id(), F.col(_FILM_PLACES))))
+    films = film_rows.drop("year").join(placed, "movieId")
+    there = at_place(films.withColumn(_TURN, F.explode(F.sequence(F.lit(0), F.col(_FILM_PLACES) - 1)))).drop("year")
+    return sent.join(there, [_PLACE, _CELL, "movieId"], "inner").drop(_PLACE, _CELL)
+
+
 def store_gold(
     movies: DataFrame,
     ratings: DataFrame,

@@ -109,6 +109,20 @@ def test_gold_shuffles_films_only(spark, parquet):
     assert text.count("hashpartitioning") == 1, "one shuffle, of the films by id"
 
 
+def test_gold_of_many_films_shuffles_ratings_without_titles(spark, parquet):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(gold(*parquet, broadcast_limit=0, rows_per_split=100, gather_years=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffles = [p for p in text.split("\n\n") if "Arguments: hashpartitioning(" in p]
+    to_place = [p for p in shuffles if "hashpartitioning(__place" in p]
+    assert sorted("genre_list" in p for p in to_place) == [False, True], "ratings and films, once each"
+    with_ratings = [p for p in shuffles if "rating#" in p]
+    assert len(with_ratings) == 2 and not any("title#" in p or "genre_list#" in p for p in with_ratings)
+
+
 def test_film_totals_join_without_another_shuffle(spark, parquet):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

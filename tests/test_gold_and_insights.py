@@ -140,6 +140,17 @@ def test_store_and_read_back(spark, tmp_path, drop_nulls):
         assert brute.comparable(rows(with_epoch(again))) == expected
 
 
+@pytest.mark.parametrize("drop_nulls", [True, False])
+@pytest.mark.parametrize("rows_per_split", [1, 3, 1_000_000])
+def test_store_with_films_too_many_to_broadcast(spark, tmp_path, drop_nulls, rows_per_split):
+    movies, ratings = brute.make_movies(23), brute.make_ratings(23)
+    ratings = [*ratings, *ratings[:1] * 40]  # equal rows of one film
+    path = str(tmp_path / "gold")
+    store_gold(*frames(spark, movies, ratings), path, drop_nulls, broadcast_limit=-1, rows_per_split=rows_per_split)
+    found = rows(with_epoch(read_gold(spark, path, GOLD_CLEAN_SCHEMA if drop_nulls else GOLD_RAW_SCHEMA)))
+    assert brute.comparable(found) == brute.comparable(brute.gold(movies, ratings, drop_nulls))
+
+
 def test_the_format_is_a_parameter(spark, tmp_path):
     movies, ratings = brute.make_movies(22), brute.make_ratings(22)
     path = str(tmp_path / "gold")
