@@ -295,6 +295,9 @@ class _Linker:
         self.texts = written(self._texts(docs, text, doc_id, limit), "candidate-texts")
         self.links = self.spark.createDataFrame([], self.empty)
         self.tried = self.spark.createDataFrame([], self.empty)
+        # Components of the links so far and the buckets that span several; found anew after new links only.
+        self.own: DataFrame | None = self.spark.createDataFrame([], "node binary, component binary")
+        self.mixed: DataFrame | None = None
 
     def _texts(self, docs: DataFrame, text: str, doc_id: str, limit: int) -> DataFrame:
         """``node, text``: the text of one document of each node."""
@@ -307,14 +310,22 @@ class _Linker:
         same = (F.col("node") == F.col("wanted")) & F.col("own").eqNullSafe(F.col("first_id"))
         return rows.join(wanted, same).select("node", "text")
 
+    def components(self) -> DataFrame:
+        """``node, component`` of the nodes that have links."""
+        if self.own is None:
+            self.own = components(self.links)
+        return self.own
+
     def in_components(self) -> DataFrame:
         """``bucket, node, component`` of the members of buckets that span several components."""
-        own = components(self.links)
-        members = self.members.join(own, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if self.mixed is not None:
+            return self.mixed
+        members = self.members.join(self.components(), "node", "left").withColumn("component", F.coalesce("component", "node"))
         members = written(members, "bucket-components")
         mixed = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
         mixed = mixed.filter(F.col("least") != F.col("most")).select("bucket")
-        return written(_joined(members, mixed, "bucket", self.size).select("bucket", "node", "component"), "mixed-buckets")
+        self.mixed = written(_joined(members, mixed, "bucket", self.size).select("bucket", "node", "component"), "mixed-buckets")
+        return self.mixed
 
     def hub_round(self, number: int) -> bool:
         """Each node tries the hub that it shares most buckets with; whether another round is worth it."""
@@ -393,7 +404,10 @@ class _Linker:
         linked = written(linked.distinct(), "new-links")
         self.links = self.links.unionByName(linked)
         self.tried = self.tried.unionByName(new)
-        return size, linked.count()
+        found = linked.count()
+        if found:
+            self.own = self.mixed = None
+        return size, found
 
     @staticmethod
     def _with(pairs: DataFrame, values: DataFrame, name: str, size: int) -> DataFrame:
@@ -435,7 +449,7 @@ def near_duplicates(
             break
     linker.last_round()
     nodes = classes.select("set_key", "node", "least")
-    linked = nodes.join(components(linker.links), "node")
+    linked = nodes.join(linker.components(), "node")
     first = linked.groupBy("component").agg(F.min("least").alias("first"))
     moved = _joined(linked, first, "component", nodes.count()).select("set_key", "first")
     by_set = nodes.join(moved, "set_key", "left").select("set_key", F.coalesce("first", "least").alias("first"))
