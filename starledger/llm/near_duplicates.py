@@ -168,30 +168,30 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component``: for every node of an undirected graph the smallest node it can reach.
 
     Alternates large-star (each neighbour above a node is linked to the smallest around it) and small-star (each
-    neighbour below it, and the node itself) until nothing changes; the graph then is a star around each smallest node.
-    Every step is written to the shared folder.
+    neighbour below it, and the node itself) until the graph is a star around each smallest node. Every step is written
+    to the shared folder. A large-star makes no more rows than there are edges, so only a small-star drops repeated ones.
     """
 
-    def stored(pairs: DataFrame) -> tuple[DataFrame, int, object]:
+    def stored(pairs: DataFrame) -> tuple[DataFrame, int, bool]:
+        """Written, with the number of pairs, and whether they are stars: each left node once, and never on the right."""
         out = written(pairs.filter(F.col("u") != F.col("v")).distinct(), "star-edges")
-        total = out.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        return out, total[0], total
-
-    start = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    now, size, total = stored(start)
-    while True:
+        ends = out.select(F.col("u").alias("node"), F.lit(1).alias("left"), F.lit(0).alias("right"))
+        ends = ends.unionByName(out.select(F.col("v").alias("node"), F.lit(0).alias("left"), F.lit(1).alias("right")))
+        met = ends.groupBy("node").agg(F.sum("left").alias("left"), F.max("right").alias("right"))
+        found = met.agg(F.sum("left"), F.count_if((F.col("left") > 1) | (F.col("left") > 0) & (F.col("right") > 0))).first()
+        return out, found[0] or 0, not found[1]
+
+    now, size, stars = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")))
+    while not stars:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large, size, _ = stored(
-            _joined(both, least, "u", 2 * size).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
+        above = _joined(both, least, "u", 2 * size).filter(F.col("v") > F.col("u"))
+        large = written(above.select(F.col("v").alias("u"), F.col("m").alias("v")), "large-stars")
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         below = _joined(large, smallest, "u", size).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after, size, new_total = stored(below.unionByName(smallest.select("u", F.col("m").alias("v"))))
-        if new_total == total:
-            roots = after.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-            return after.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
-        now, total = after, new_total
+        now, size, stars = stored(below.unionByName(smallest.select("u", F.col("m").alias("v"))))
+    roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
 def _verifier(words: int, pct: int):
@@ -283,8 +283,6 @@ class _Linker:
 
     def __init__(self, docs: DataFrame, classes: DataFrame, text: str, doc_id: str, words: int, pct: int, hashes: int, limit: int):
         self.words, self.pct, self.hashes = words, pct, hashes
-        self.empty = "a binary, b binary"
-        self.spark = docs.sparkSession
         entries = classes.agg(F.coalesce(F.sum(F.size("bands")), F.lit(0))).first()[0]
         buckets = classes.select("node", F.explode("bands").alias("bucket"))
         shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("bucket")
@@ -293,11 +291,11 @@ class _Linker:
         needed = self.members.select("node").distinct()
         self.nodes = written(needed.join(classes.select("node", "first_id", "signature"), "node"), "candidate-nodes")
         self.texts = written(self._texts(docs, text, doc_id, limit), "candidate-texts")
-        self.links = self.spark.createDataFrame([], self.empty)
-        self.tried = self.spark.createDataFrame([], self.empty)
-        # Components of the links so far and the buckets that span several; found anew after new links only.
-        self.own: DataFrame | None = self.spark.createDataFrame([], "node binary, component binary")
-        self.mixed: DataFrame | None = None
+        self.tried: DataFrame | None = None
+        # The component of every candidate node, and the members of buckets that span several; new links change both.
+        # Before there are any, each node is a component, and each of these buckets spans several.
+        self.own: DataFrame | None = None
+        self.mixed: DataFrame | None = self.members.withColumn("component", F.col("node"))
 
     def _texts(self, docs: DataFrame, text: str, doc_id: str, limit: int) -> DataFrame:
         """``node, text``: the text of one document of each node."""
@@ -311,17 +309,25 @@ class _Linker:
         return rows.join(wanted, same).select("node", "text")
 
     def components(self) -> DataFrame:
-        """``node, component`` of the nodes that have links."""
-        if self.own is None:
-            self.own = components(self.links)
-        return self.own
+        """``node, component`` of the candidate nodes."""
+        return self.nodes.select("node", F.col("node").alias("component")) if self.own is None else self.own
+
+    def _absorb(self, links: DataFrame, size: int) -> None:
+        """Merge the components that new links join: only these are looked at, as nodes of a smaller graph."""
+        own = self.components()
+        between = links if self.own is None else self._with(links, own, "component", size)
+        ends = ("a", "b") if self.own is None else ("component_a", "component_b")
+        merged = components(between, *ends).select(F.col("node").alias("component"), F.col("component").alias("into"))
+        everywhere = own.select("component").distinct().join(merged, "component", "left")
+        moved = _joined(own, everywhere, "component", self.nodes.count())
+        self.own = written(moved.select("node", F.coalesce("into", "component").alias("component")), "node-components")
+        self.mixed = None
 
     def in_components(self) -> DataFrame:
         """``bucket, node, component`` of the members of buckets that span several components."""
         if self.mixed is not None:
             return self.mixed
-        members = self.members.join(self.components(), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        members = written(members, "bucket-components")
+        members = written(self.members.join(self.components(), "node"), "bucket-components")
         mixed = members.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
         mixed = mixed.filter(F.col("least") != F.col("most")).select("bucket")
         self.mixed = written(_joined(members, mixed, "bucket", self.size).select("bucket", "node", "component"), "mixed-buckets")
@@ -379,7 +385,8 @@ class _Linker:
     def _try(self, pairs: DataFrame) -> tuple[int, int]:
         """Verify pairs that haven't been tried, signatures first, then the full sets. How many were, and are linked."""
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = written(ordered.join(self.tried, ["a", "b"], "left_anti"), "pairs")
+        untried = ordered if self.tried is None else ordered.join(self.tried, ["a", "b"], "left_anti")
+        new = written(untried, "pairs")
         size = new.count()
         if not size:
             return 0, 0
@@ -402,11 +409,10 @@ class _Linker:
         columns = {"a": "a", "b": "b", "ta": "text_a", "tb": "text_b"}
         linked = per_batch(met, columns, "a binary, b binary", _verifier(self.words, self.pct))
         linked = written(linked.distinct(), "new-links")
-        self.links = self.links.unionByName(linked)
-        self.tried = self.tried.unionByName(new)
+        self.tried = new if self.tried is None else self.tried.unionByName(new)
         found = linked.count()
         if found:
-            self.own = self.mixed = None
+            self._absorb(linked, found)
         return size, found
 
     @staticmethod
