@@ -93,6 +93,9 @@ def split_join(
     The split of a row follows from its content and the number of its input partition. Rows that differ part by content,
     equal rows by partition, and one partition is small. Neither depends on the order of rows, so a task that is repeated
     after a loss deals the same rows to the same splits.
+
+    Once there are hot keys, sides that were not measured are merged whatever their estimated size: from a well compressed
+    file Spark would expect little, and send ``small``, repeated per split, through the driver.
     """
     spark = large.sparkSession
     large = large.filter(F.col(key).isNotNull())
@@ -114,7 +117,8 @@ def split_join(
 
     by_content = F.xxhash64(*[F.col(c) for c in large.columns])
     on_key = F.col(key) == F.col(_HOT_KEY)
-    if measured_bytes(hot) <= broadcast_limit:
+    few = measured_bytes(hot) <= broadcast_limit
+    if few:
         marked = large.join(F.broadcast(hot), on_key, "left")
     else:
         salts = min(most, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
@@ -127,9 +131,9 @@ def split_join(
     dealt = marked.withColumn(_SPLIT, F.coalesce(turn, F.lit(0))).drop(_HOT_KEY, _SPLITS)
     last = F.coalesce(F.col(_SPLITS), F.lit(1)) - 1
     repeated = (
-        small.join(hot, on_key, "left")
+        small.join(F.broadcast(hot) if few else hot.hint("merge"), on_key, "left")
         .withColumn(_SPLIT, F.explode(F.sequence(F.lit(0), last)))
         .drop(_HOT_KEY, _SPLITS)
     )
-    joined = dealt.join(repeated, [key, _SPLIT], "inner")
+    joined = dealt.join(repeated.hint("merge"), [key, _SPLIT], "inner")
     return joined.drop(_SPLIT)

@@ -35,6 +35,18 @@ def test_every_hot_key_is_split_however_many_there_are(spark, limit):
     assert max(Counter(r["task"] for r in found if r["k"] == -1).values()) < 2 * 20_000 / tasks
 
 
+@pytest.mark.parametrize("limit", [1 << 26, 0])
+def test_films_repeated_per_split_stay_off_the_driver(spark, tmp_path, limit):
+    # The file of the smaller side is far below the size from which Spark stops to broadcast.
+    rows = spark.range(4000).select((F.col("id") % 200).alias("k"), F.col("id").alias("x"))
+    spark.range(200).select(F.col("id").alias("k"), F.lit("a title").alias("y")).write.parquet(str(tmp_path / "films"))
+    joined = split_join(rows, spark.read.parquet(str(tmp_path / "films")), "k", rows_per_split=5, broadcast_limit=limit)
+    assert joined.count() == 4000
+    text = joined._jdf.queryExecution().sparkPlan().toString()
+    # Only the measured list of hot keys may be broadcast, to either side.
+    assert text.count("BroadcastHashJoin") == (2 if limit else 0) and "SortMergeJoin" in text
+
+
 def test_fine_ratings_of_a_hot_film_are_split(spark):
     rated = spark.range(30_000).select(
         F.col("id").cast("int").alias("userId"),
