@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starledger.operators import measured_bytes, split_join
-from starledger.plans import insights, store_gold
+from starledger.plans import gold, insights, store_gold
 from starledger.sources import corrupt_report, read_csv, read_gold, read_ratings, stand_ins, write_csv
 
 FOLDER = "/root/testdata/sf0.001"
@@ -118,3 +118,12 @@ def test_measured_bytes_look_into_every_type(spark):
     assert measured_bytes(df) >= 300_000
     with pytest.raises(TypeError):
         measured_bytes(spark.sql("select parse_json('{}') as v"))
+
+
+@pytest.mark.parametrize("drop_nulls", [True, False])
+def test_split_gold_broadcasts_the_hot_films_alone(spark, drop_nulls):
+    films, rated = stand_ins.movies(spark, FOLDER), stand_ins.ratings(spark, FOLDER)
+    split = gold(films, rated, drop_nulls, broadcast_limit=0, rows_per_split=4)
+    text = split._jdf.queryExecution().sparkPlan().toString()
+    assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" in text
+    assert split.count() == gold(films, rated, drop_nulls).count() > 0
