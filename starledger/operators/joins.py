@@ -79,6 +79,7 @@ def split_join(
     rows_per_split: int = ROWS_PER_SPLIT,
     broadcast_limit: int = BROADCAST_LIMIT,
     counts: DataFrame | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Shuffled inner join in which no task gets much more than ``rows_per_split`` rows of one key.
 
@@ -94,6 +95,8 @@ def split_join(
     equal rows by partition, and one partition is small. Neither depends on the order of rows, so a task that is repeated
     after a loss deals the same rows to the same splits.
 
+    Where no key is hot, ``tasks`` tasks share the join; without it AQE sizes them by the bytes that are shuffled.
+
     Once there are hot keys, sides that were not measured are merged whatever their estimated size: from a well compressed
     file Spark would expect little, and send ``small``, repeated per split, through the driver.
     """
@@ -113,7 +116,7 @@ def split_join(
     hot = spark.read.schema(found.schema).parquet(folder)
     most = hot.agg(F.max(_SPLITS)).first()[0]
     if most is None:
-        return large.join(small, key, "inner")
+        return (large.repartition(tasks, key) if tasks else large).join(small, key, "inner")
 
     by_content = F.xxhash64(*[F.col(c) for c in large.columns])
     on_key = F.col(key) == F.col(_HOT_KEY)

@@ -2,6 +2,7 @@
 
 import math
 import statistics
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,6 +200,38 @@ def test_a_year_with_most_rows_is_written_by_several_tasks(spark, tmp_path, gath
     assert read_gold(spark, path).count() == 2 * n
 
 
+@pytest.mark.parametrize("drop_nulls", [True, False])
+@pytest.mark.parametrize("limit", [1 << 26, 0])
+def test_large_writes_are_dealt_by_number_of_rows(spark, monkeypatch, tmp_path, drop_nulls, limit):
+    """AQE would put these few bytes into one task; a year's place still lies in one, so that files stay few."""
+    module = sys.modules["starledger.plans.gold"]
+    monkeypatch.setattr(module, "ROWS_PER_PLACE", 500, raising=False)
+    monkeypatch.setattr(module, "ROWS_TO_PLACE", 1000, raising=False)
+    n, years = 20_000, 10
+    film = F.when(F.col("id") % 4 == 0, 0).otherwise(F.col("id") % 200).cast("int")
+    ratings = spark.range(n).select(
+        F.col("id").cast("int").alias("userId"), film.alias("movieId"), F.lit(4.0).cast("float").alias("rating"), F.lit(7).alias("timestamp")
+    )
+    title = F.when(F.col("id") % years == 9, F.lit("no year")).otherwise(
+        F.concat(F.lit("t ("), (F.col("id") % years + 1990).cast("string"), F.lit(")"))
+    )
+    movies = spark.range(200).select(F.col("id").cast("int").alias("movieId"), title.alias("title"), F.lit("A|B").alias("genres"))
+    written = gold(movies, ratings, drop_nulls, broadcast_limit=limit, gather_years=True)
+    text = written._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in text.split("Union")[0]) == bool(limit)
+    by_task = written.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(by_task) > 20 and max(r["count"] for r in by_task) < 2 * n / 6
+    path = str(tmp_path / "gold")
+    write_gold(written, path, gathered=True)
+    files = list((tmp_path / "gold").glob("year=*/*.parquet"))
+    places = n / 500 + years
+    assert len(files) <= places
+    found = read_gold(spark, path)
+    plain = gold(movies, ratings, drop_nulls)
+    assert found.count() == plain.count() == found.distinct().count()
+    assert found.exceptAll(plain.select(found.columns)).count() == 0
+
+
 @pytest.mark.parametrize("drop_nulls", [True, False])
 @pytest.mark.parametrize("seed", [31, 32])
 def test_totals_both_ways(spark, drop_nulls, seed):
