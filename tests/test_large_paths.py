@@ -1,5 +1,6 @@
 """Branches that large data take, and tables that must survive a second write or an odd value."""
 
+import sys
 from collections import Counter
 
 import pytest
@@ -127,3 +128,20 @@ def test_split_gold_broadcasts_the_hot_films_alone(spark, drop_nulls):
     text = split._jdf.queryExecution().sparkPlan().toString()
     assert text.count("BroadcastHashJoin") == 2 and "SortMergeJoin" in text
     assert split.count() == gold(films, rated, drop_nulls).count() > 0
+
+
+@pytest.mark.parametrize("safely", [True, False])
+@pytest.mark.parametrize("limit", [1 << 26, 0])
+def test_a_large_table_is_written_by_many_tasks_replaced_and_sliced(spark, monkeypatch, tmp_path, safely, limit):
+    module = sys.modules["starledger.plans.gold"]
+    monkeypatch.setattr(module, "ROWS_PER_PLACE", 500, raising=False)
+    monkeypatch.setattr(module, "ROWS_TO_PLACE", 1000, raising=False)
+    films, rated = stand_ins.movies(spark, FOLDER), stand_ins.ratings(spark, FOLDER)
+    path = str(tmp_path / "gold")
+    store_gold(films.filter("movieId < 9"), rated, path, safely=safely, broadcast_limit=limit)
+    store_gold(films, rated, path, safely=safely, broadcast_limit=limit)
+    tasks = {p.name[:10] for p in (tmp_path / "gold").glob("**/year=*/*.parquet")}
+    assert len(tasks) > 5
+    found, expected = (df.filter("year = 1975").toPandas() for df in (read_gold(spark, path), gold(films, rated)))
+    assert Counter(found.itertuples(index=False, name=None)) == Counter(expected[found.columns].itertuples(index=False, name=None))
+    assert len(found) and read_gold(spark, path).count() == gold(films, rated).count()
