@@ -14,6 +14,9 @@ from starledger.session import shared_folder
 
 # A side measured up to this many bytes is broadcast.
 BROADCAST_LIMIT = 64 << 20
+# A list of hot keys measured up to this many bytes is broadcast. It is in the driver several times over while it is sent
+# (collected, hashed, serialised), and every key on it has more rows than a split, so few lists are longer.
+HOT_LIMIT = 8 << 20
 # Rows of one key that one join task takes.
 ROWS_PER_SPLIT = 2_000_000
 # Types whose values may be of any size and can't be looked into.
@@ -23,6 +26,7 @@ UNBOUNDED_TYPES = {"VariantType", "PythonOnlyUDT", "GeometryType", "GeographyTyp
 FILTER_BITS = 1 << 27
 
 _SPLITS, _SPLIT, _HOT_KEY, _ROWS, _SALT, _HOT_SALT = "__splits", "__split", "__hot_key", "__rows", "__salt", "__hot_salt"
+_PART = "__part"
 
 
 def _value_bytes(column: Column, data_type: DataType) -> Column:
@@ -77,7 +81,7 @@ def split_join(
     small: DataFrame,
     key: str,
     rows_per_split: int = ROWS_PER_SPLIT,
-    broadcast_limit: int = BROADCAST_LIMIT,
+    broadcast_limit: int = HOT_LIMIT,
     counts: DataFrame | None = None,
     tasks: int | None = None,
 ) -> DataFrame:
@@ -89,7 +93,8 @@ def split_join(
     repeated once per split. All other keys are joined as usual. Every row meets each of its matches exactly once.
 
     The list of hot keys is written to the shared folder and measured. Up to ``broadcast_limit`` bytes it is broadcast.
-    Beyond, the split counts reach ``large`` by a join on the key and a salt, so a hot key is spread there as well.
+    Beyond, the split counts reach ``large`` by a join on the key and a salt, so a key of more than ``ROWS_PER_SPLIT`` rows
+    is spread there as well, and nothing is broadcast.
 
     The split of a row follows from its content and the number of its input partition. Rows that differ part by content,
     equal rows by partition, and one partition is small. Neither depends on the order of rows, so a task that is repeated
@@ -118,20 +123,23 @@ def split_join(
     if most is None:
         return (large.repartition(tasks, key) if tasks else large).join(small, key, "inner")
 
-    by_content = F.xxhash64(*[F.col(c) for c in large.columns])
+    content = [F.col(c) for c in large.columns]
+    large = large.withColumn(_PART, F.spark_partition_id())  # before a shuffle puts equal rows into one
     on_key = F.col(key) == F.col(_HOT_KEY)
     few = measured_bytes(hot) <= broadcast_limit
     if few:
         marked = large.join(F.broadcast(hot), on_key, "left")
     else:
-        salts = min(most, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        # As many as the hottest key needs, not one per split: the list is repeated once per salt.
+        needed = -(-most * rows_per_split // ROWS_PER_SPLIT)
+        salts = min(needed, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
         spread = hot.withColumn(_HOT_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         # A different hash than the one that picks the split: the two are independent.
-        salted = large.withColumn(_SALT, F.pmod(F.hash(*[F.col(c) for c in large.columns]), F.lit(salts)))
+        salted = large.withColumn(_SALT, F.pmod(F.hash(*content) + F.col(_PART), F.lit(salts)))
         on_salt = on_key & (F.col(_SALT) == F.col(_HOT_SALT))
         marked = salted.join(spread.hint("merge"), on_salt, "left").drop(_SALT, _HOT_SALT)
-    turn = (F.pmod(by_content + F.spark_partition_id(), F.col(_SPLITS).cast("bigint"))).cast("int")
-    dealt = marked.withColumn(_SPLIT, F.coalesce(turn, F.lit(0))).drop(_HOT_KEY, _SPLITS)
+    turn = (F.pmod(F.xxhash64(*content) + F.col(_PART), F.col(_SPLITS).cast("bigint"))).cast("int")
+    dealt = marked.withColumn(_SPLIT, F.coalesce(turn, F.lit(0))).drop(_HOT_KEY, _SPLITS, _PART)
     last = F.coalesce(F.col(_SPLITS), F.lit(1)) - 1
     repeated = (
         small.join(F.broadcast(hot) if few else hot.hint("merge"), on_key, "left")

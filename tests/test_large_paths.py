@@ -48,6 +48,28 @@ def test_films_repeated_per_split_stay_off_the_driver(spark, tmp_path, limit):
     assert text.count("BroadcastHashJoin") == (2 if limit else 0) and "SortMergeJoin" in text
 
 
+def test_a_long_list_of_hot_keys_stays_off_the_driver(spark):
+    # 200,000 hot keys, measured at 9.6 MB.
+    rows = spark.range(400_000).select((F.col("id") % 200_000).alias("k"), F.col("id").alias("x"))
+    joined = split_join(rows, spark.range(200_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y")), "k", rows_per_split=1)
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().sparkPlan().toString()
+    assert joined.agg(F.count("*"), F.count_if(F.col("y") == 2 * F.col("k"))).first() == (400_000, 400_000)
+
+
+@pytest.mark.parametrize("limit", [1 << 26, 0])
+def test_equal_rows_of_a_hot_key_are_split_whether_or_not_the_list_is_broadcast(spark, limit):
+    # Copies of one row that is no constant to the optimizer.
+    rows = spark.range(0, 4000, 1, 80).select(F.when(F.col("id") < 5000, 7).alias("k"), F.when(F.col("id") < 5000, "same").alias("x"))
+    dims = spark.range(30).select(F.col("id").cast("int").alias("k"), F.lit("dim").alias("y"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = split_join(rows, dims, "k", rows_per_split=100, broadcast_limit=limit)
+        tasks = Counter(r[0] for r in joined.select(F.spark_partition_id()).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks.total() == 4000 and max(tasks.values()) < 4000 / 3
+
+
 def test_fine_ratings_of_a_hot_film_are_split(spark):
     rated = spark.range(30_000).select(
         F.col("id").cast("int").alias("userId"),
